@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import quality_rules, token_counts, url_rules
+from corvane.llm import chat, decontamination, mixing, quality_rules, simhash, token_counts, url_rules
 from corvane.llm.common import read_table
 
 #: The rules of the URL query (action, host, path).
@@ -19,6 +19,35 @@ URL_RULES = [
 ]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), wins AS (
+  SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
+  FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT item_id, w, least(13, len(w)) AS k FROM b WHERE len(w) > 0))
+), places AS (
+  SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM wins) WHERE len(w) >= k)
+), hits AS (
+  SELECT p.doc_id, p.i, p.k, x.item_id FROM places p JOIN wins x ON p.k = x.k AND p.win = x.win
+), words AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS spot FROM hits) GROUP BY doc_id
+), ids AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
 
@@ -30,6 +59,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), str(path))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -56,13 +89,33 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM spli
 """
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_turns(read_table(spark, sf_dir, "conversations"))
+
+
+OP10_SQL = """
+SELECT conv_id, turn, 'message' AS kind, CAST(NULL AS VARCHAR) AS call_id, CAST(NULL AS BIGINT) AS linked_turn, 'message' AS status,
+  CAST(turn AS BIGINT) AS order_turn, CAST(0 AS BIGINT) AS level,
+  to_json({'content': coalesce(text, ''), 'role': coalesce(role, '')})::VARCHAR AS message_json
+FROM conversations
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_quality_rules": op2_quality_rules,
         "op3_token_counts": op3_token_counts,
+        "op4_mixing": op4_mixing,
         "op5_url_rules": op5_url_rules,
+        "op9_simhash": op9_simhash,
+        "op10_chat": op10_chat,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_rules": OP5_SQL}
+    return {"op1_decontamination": OP1_SQL, "op5_url_rules": OP5_SQL, "op10_chat": OP10_SQL}
