@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import chat, decontamination, mixing, quality_rules, simhash, token_counts, url_rules
+from corvane.llm import chat, decontamination, lm_scoring, mixing, quality_rules, simhash, token_counts, url_rules
 from corvane.llm.common import read_table
 
 #: The rules of the URL query (action, host, path).
@@ -89,6 +89,10 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM spli
 """
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
 
@@ -112,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_counts": op3_token_counts,
         "op4_mixing": op4_mixing,
         "op5_url_rules": op5_url_rules,
+        "op7_lm_scoring": op7_lm_scoring,
         "op9_simhash": op9_simhash,
         "op10_chat": op10_chat,
     }
