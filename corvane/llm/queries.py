@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corvane.llm import chat, decontamination, lm_scoring, mixing, quality_rules, simhash, token_counts, url_rules
+from corvane.llm import chat, decontamination, lm_scoring, mixing, quality_rules, simhash, suffix_dedup, token_counts, url_rules
 from corvane.llm.common import read_table
 
 #: The rules of the URL query (action, host, path).
@@ -93,6 +94,14 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(read_table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["length"])
+    return out.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
 
@@ -117,6 +126,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_mixing": op4_mixing,
         "op5_url_rules": op5_url_rules,
         "op7_lm_scoring": op7_lm_scoring,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_simhash": op9_simhash,
         "op10_chat": op10_chat,
     }
