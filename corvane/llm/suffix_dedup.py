@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.blocks import MULTIPLY, bucket_bounds, cut_evenly, deal, in_order, pack, unpack
+from corvane.llm.blocks import MULTIPLY, bucket_bounds, cut_evenly, deal, in_order, mix, pack, unpack
 
 LENGTH = 50
 GRAM = 16
@@ -91,7 +91,8 @@ def anchor_segments(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, leng
         first, last = edges[:-1], edges[1:] - 1
         good = ok[first]
         first, last = first[good], last[good]
-        found.append((x[at[first].astype(np.int64)], first + a, last + a))
+        # minima are small; mixed again they spread evenly over the buckets
+        found.append((mix(x[at[first].astype(np.int64)]), first + a, last + a))
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
