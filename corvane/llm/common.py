@@ -61,10 +61,11 @@ def map_texts(
     text_col: str,
     make: Callable[[], Callable[[list[bytes | None]], dict[str, object]]],
     fields: str,
+    keep_text: bool = False,
 ) -> DataFrame:
     """Per-text columns computed in Arrow batches; one output row per input row.
 
-    Keeps ``keys`` and adds the columns of ``fields`` (DDL). ``make()`` runs once per task and returns
+    Keeps ``keys`` (and the text, if asked to) and adds the columns of ``fields`` (DDL). ``make()`` runs once per task and returns
     the function from a list of UTF-8 texts (None for null) to the new columns. Nothing but the keys and
     the text is read; other columns of ``df``, whatever their names, play no part.
     """
@@ -77,12 +78,14 @@ def map_texts(
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             new = compute(texts)
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            names = [f"_k{i}" for i in range(len(columns))]
+            columns = [batch.column(i) for i in range(batch.num_columns - (not keep_text))]
+            names = [*[f"_k{i}" for i in range(batch.num_columns - 1)], "_text"][: len(columns)]
             for name, values in new.items():
                 columns.append(values if isinstance(values, pa.Array) else pa.array(values))
                 names.append(name)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    out = narrow.mapInArrow(run, f"{key_ddl}, {fields}")
-    return out.withColumnsRenamed({f"_k{i}": k for i, k in enumerate(keys)})
+    out = narrow.mapInArrow(run, ", ".join([key_ddl, *["_text binary"] * keep_text, fields]))
+    if keep_text:
+        out = out.withColumn("_text", F.col("_text").cast("string"))
+    return out.withColumnsRenamed({f"_k{i}": k for i, k in enumerate(keys)} | {"_text": text_col})

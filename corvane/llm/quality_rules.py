@@ -104,8 +104,8 @@ def _points(word: bytes) -> int:
     return len(word) if word.isascii() else len(word.decode("utf-8", "replace"))
 
 
-def quality_measures(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """``keys`` and the columns of FIELDS per row."""
+def quality_measures(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """``keys`` (and the text, if asked to) and the columns of FIELDS per row."""
     names = [x.split()[0] for x in FIELDS.split(", ")]
 
     def make():
@@ -115,7 +115,7 @@ def quality_measures(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text_co
 
         return compute
 
-    return map_texts(docs, keys, text_col, make, FIELDS)
+    return map_texts(docs, keys, text_col, make, FIELDS, keep_text)
 
 
 def quality_rules(
@@ -125,9 +125,10 @@ def quality_rules(
     min_words: int = MIN_WORDS,
     max_line_share: float = MAX_LINE_SHARE,
     max_symbol_share: float = MAX_SYMBOL_SHARE,
+    keep_text: bool = False,
 ) -> DataFrame:
     """``quality_measures`` with base_failed and kept."""
     base = f"(n_words < {int(min_words)} OR 100 * n_repeat_words > 50 * n_words)"
     bad = [f"n_symbols > {max_symbol_share!r}D * n_words", f"dup_line_chars > {max_line_share!r}D * line_chars"]
     bad += [f"dup_chars_{n} > {limit!r}D * word_chars" for n, limit in NGRAM_LIMITS.items()]
-    return quality_measures(docs, keys, text_col).selectExpr("*", f"{base} AS base_failed", f"NOT ({base} OR {' OR '.join(bad)}) AS kept")
+    return quality_measures(docs, keys, text_col, keep_text).selectExpr("*", f"{base} AS base_failed", f"NOT ({base} OR {' OR '.join(bad)}) AS kept")

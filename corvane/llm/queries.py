@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import chat, decontamination, lm_scoring, mixing, quality_rules, simhash, suffix_dedup, token_counts, url_rules
+from corvane.llm import chat, decontamination, html_extraction, lm_scoring, mixing, quality_rules, simhash, suffix_dedup, token_counts, url_rules
 from corvane.llm.common import read_table
 
 #: The rules of the URL query (action, host, path).
@@ -90,6 +90,10 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM spli
 """
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(read_table(spark, sf_dir, "documents"))
 
@@ -98,12 +102,12 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["length"])
     return out.select(
-        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256")
     )
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
+    return simhash.simhash_components(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,6 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_counts": op3_token_counts,
         "op4_mixing": op4_mixing,
         "op5_url_rules": op5_url_rules,
+        "op6_html_extraction": op6_html_extraction,
         "op7_lm_scoring": op7_lm_scoring,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_simhash": op9_simhash,

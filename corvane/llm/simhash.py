@@ -181,13 +181,16 @@ def simhash_components(
     radius: int = RADIUS,
     max_bucket: int = MAX_BUCKET,
 ) -> DataFrame:
-    """``keys`` (the first is the id), fingerprint (16 hex digits) and component_id per row. Eager."""
+    """``keys`` (the first is the id), fingerprint (16 hex digits), component_id and root per row. Eager.
+
+    root, a fingerprint as a long, tells components apart whatever their ids.
+    """
     rows = cut(fingerprints(docs, keys, text_col, k))
     nodes = cut(rows.groupBy("fp").agg(F.min(keys[0]).alias("first")))
     roots = connected_components(near_links(nodes, radius, max_bucket), "a", "b")
     with_root = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     with_root = cut(with_root)
     smallest = with_root.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = with_root.join(smallest, "root").select("fp", "component_id")
+    ids = with_root.join(smallest, "root").select("fp", "component_id", "root")
     out = rows.join(ids, "fp", "left")
-    return out.select(*keys, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return out.select(*keys, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")

@@ -364,7 +364,16 @@ def _repeats(length: int):
     return run
 
 
-def _remove(keys: int, length: int):
+def whole_characters(buf: np.ndarray, covered: np.ndarray) -> np.ndarray:
+    """Only characters of which every byte is covered."""
+    starts = np.flatnonzero((buf & 0xC0) != 0x80)
+    if not len(starts):
+        return covered
+    starts[0] = 0
+    return np.repeat(np.logical_and.reduceat(covered, starts), np.diff(np.append(starts, len(buf))))
+
+
+def _remove(keys: int, length: int, whole: bool):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         names = [f"_k{i}" for i in range(keys)]
         own = BlockTexts(docs, length)
@@ -384,6 +393,8 @@ def _remove(keys: int, length: int):
             a = (np.repeat(start, each) + offset[at])[earlier]
             b = a + size[at][earlier]
             covered = np.cumsum(np.bincount(a, minlength=n + 1) - np.bincount(b, minlength=n + 1))[:n] > 0
+        if whole:
+            covered = whole_characters(own.buf, covered)
         ends = own.starts + own.sizes
         edge = covered.copy()
         edge[1:] &= ~covered[:-1]
@@ -401,6 +412,7 @@ def _remove(keys: int, length: int):
             pa.StructArray.from_arrays([pa.array(span_first - own.starts[owner], pa.int64()), pa.array(span_size, pa.int64())], names=["start", "length"]),
         )
         kept = [own.buf[a:b][~covered[a:b]].tobytes() if i < j else own.data[a:b] for a, b, i, j in zip(own.starts.tolist(), ends.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        kept = [None if t is None else k for t, k in zip(own.table.column("_text").to_pylist(), kept, strict=True)]
         return pa.table({k: own.table.column(k) for k in names} | {"n_bytes": pa.array(own.sizes, pa.int64()), "spans": spans, "kept": pa.array(kept, pa.binary())})
 
     return run
@@ -413,8 +425,12 @@ def suffix_dedup(
     length: int = LENGTH,
     hot: int = HOT,
     block_bytes: int | None = None,
+    whole_characters: bool = False,
 ) -> DataFrame:
-    """``keys`` (the first an integer id), n_bytes, spans (start and length of removed runs) and kept (the bytes left)."""
+    """``keys`` (the first an integer id), n_bytes, spans (start and length of removed runs) and kept (the bytes left).
+
+    kept is null for a null text. ``whole_characters``: characters that would lose some of their bytes stay whole.
+    """
     dealt = deal(docs, keys, text_col, block_bytes)
     blocks = lambda: dealt.docs.groupBy("_block")
     asked = blocks().applyInArrow(_ask(dealt.bits, length), ASKED)
@@ -425,6 +441,6 @@ def suffix_dedup(
     told = flags.withColumns(none).unionByName(runs.withColumn("flags", F.lit(None).cast("binary")))
     ddl = ", ".join(f"_k{i} {dealt.docs.schema[f'_k{i}'].dataType.simpleString()}" for i in range(len(keys)))
     out = blocks().cogroup(told.groupBy("block")).applyInArrow(
-        _remove(len(keys), length), f"{ddl}, n_bytes long, spans array<struct<start: long, length: long>>, kept binary"
+        _remove(len(keys), length, whole_characters), f"{ddl}, n_bytes long, spans array<struct<start: long, length: long>>, kept binary"
     )
     return out.withColumnsRenamed({f"_k{i}": k for i, k in enumerate(keys)})

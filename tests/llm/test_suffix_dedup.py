@@ -53,7 +53,7 @@ def test_removed_bytes_equal_the_rule(spark, length, hot, block_bytes, seed):
     out = sd.suffix_dedup(docs, length=length, hot=hot, block_bytes=block_bytes).collect()
     got, want = defaultdict(list), defaultdict(list)
     for r in out:
-        got[r["doc_id"]].append((r["n_bytes"], tuple((s["start"], s["length"]) for s in r["spans"]), bytes(r["kept"])))
+        got[r["doc_id"]].append((r["n_bytes"], tuple((s["start"], s["length"]) for s in r["spans"]), bytes(r["kept"] or b"")))
     for (i, t), gone in zip(rows, plain_removed(rows, length), strict=True):
         t = (t or "").encode()
         edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])))
