@@ -1,11 +1,607 @@
-"""Registered record-linkage queries and the SQL they are compared with."""
+"""Registered record-linkage queries over the adapters' tables, and the SQL they are compared with.
+
+Each query applies one operator of the library to whole tables. Ratios are rounded to six decimals on both sides.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corvane.functions import similarity, text
+from corvane.operators import blocking, decisions, evaluation, matcher, recovery
+from corvane.operators.blocking import BLOCKER_BITS, EXACT_BLOCKERS, BlockingConfig
+from corvane.operators.contracts import CANDIDATE_KEY
+from corvane.operators.features import FEATURE_COLUMNS, FeatureEngineer
+from corvane.plans import linkage
+from corvane.sources import adapters, tsv
+
+PART_CAP = 12
+THRESHOLD, GAP = 0.3, 0.1
+SWEEP = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
+BUILT_IN_FEATURES = [c for c in FEATURE_COLUMNS if "ratio" not in c and "levenshtein" not in c and "token_similarity" not in c and not c.startswith(("name_address", "combined"))]
+
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def _query(name: str, sql: str | None = None):
+    def keep(f: Query) -> Query:
+        _queries[name] = f
+        if sql is not None:
+            _sql[name] = sql
+        return f
+
+    return keep
+
+
+# ---- Spark side
+
+
+def _sources(spark: SparkSession, sf: str, parts: bool = False):
+    records = (adapters.part_records if parts else adapters.document_records)(spark, sf)
+    return records, [blocking.prepare(s) for s in adapters.three_sources(records)]
+
+
+def _candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return blocking.generate_candidate_pairs(*_sources(spark, sf)[1])
+
+
+def _truth(spark: SparkSession, sf: str):
+    return adapters.document_truth(adapters.document_records(spark, sf))
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates with a score from built-in measures: the mean word Jaccard of name and address."""
+    _, (s1, s2, s3) = _sources(spark, sf)
+    met = FeatureEngineer().attach_records(s1, s2, s3, blocking.generate_candidate_pairs(s1, s2, s3))
+    mean = (similarity.token_jaccard("name_1", "name_2") + similarity.token_jaccard("address_1", "address_2")) / 2.0
+    return met.select(*CANDIDATE_KEY, F.round(mean, 6).alias("score"))
+
+
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluation.label_candidate_pairs(_scored(spark, sf), _truth(spark, sf)[1])
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c).cast("long").alias(c) if t in ("int", "bigint") else F.col(c) for c, t in df.dtypes])
+
+
+# ---- SQL side
+
+_SPACE = r"\p{Z}\t-\r\x1c-\x1f\x{85}"
+
+
+def _norm(x: str) -> str:
+    return rf"trim(regexp_replace(replace(lower({x}), 'ß', 'ss'), '[\p{{P}}\p{{S}}{_SPACE}]+', ' ', 'g'))"
+
+
+def _print(x: str) -> str:
+    return rf"regexp_replace({x}, '[^\p{{L}}\p{{M}}\p{{N}}]', '', 'g')"
+
+
+def _strip(x: str) -> str:
+    return rf"regexp_replace(coalesce({x}, ''), '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g')"
+
+
+def _tokens(x: str, least: int) -> str:
+    return rf"list_filter(regexp_extract_all({_strip(x)}, '[\p{{L}}\p{{N}}]+'), lambda t: length(t) >= {least})"
+
+
+def _longest(words: str, k: int) -> str:
+    return f"list_transform(list_sort(list_transform(list_distinct({words}), lambda t: {{'n': -length(t), 't': t}}))[1:{k}], lambda s: s.t)"
+
+
+_STOP = "(" + ", ".join(f"'{w}'" for w in text.STOPWORDS) + ")"
+
+
+def _no_stop(words: str) -> str:
+    return f"list_filter({words}, lambda t: lower(t) NOT IN {_STOP})"
+
+
+def _soundex(t: str) -> str:
+    letters = f"upper(regexp_replace({t}, '[^A-Za-z]', '', 'g'))"
+    runs = f"translate({letters}, 'BFPVCGJKQSXZDTLMNRAEIOUHWY', '11112222222233455600000000')"
+    for digit in "0123456":
+        runs = f"regexp_replace({runs}, '{digit}+', '{digit}', 'g')"
+    return f"CASE WHEN {letters} = '' THEN '' ELSE rpad(substr(left({letters}, 1) || replace(substr({runs}, 2), '0', ''), 1, 4), 4, '0') END"
+
+
+def _set(x: str) -> str:
+    return rf"list_distinct(list_filter(string_split_regex({x}, '[{_SPACE}]+'), lambda t: t <> ''))"
+
+
+def _jaccard(a: str, b: str) -> str:
+    return f"CASE WHEN len({_set(a)}) = 0 OR len({_set(b)}) = 0 THEN 0.0 ELSE len(list_intersect({_set(a)}, {_set(b)}))::DOUBLE / len(list_distinct(list_concat({_set(a)}, {_set(b)}))) END"
+
+
+def _base(parts: bool = False) -> str:
+    return f"""records AS ({(adapters.PARTS if parts else adapters.DOCUMENTS).format(text="VARCHAR")}
+), prepared AS (
+  SELECT *, {_norm("business_name")} AS nn, {_norm("business_address")} AS an, {_norm("country")} AS cn FROM records
+), full_records AS (
+  SELECT *, {_print("nn")} AS nf, {_print("an")} AS af, {_print("cn")} AS cf FROM prepared
+)"""
+
+
+def _key_sql(blocker: str) -> str:
+    """SELECT of (entity_id, src, bit, k1, k2) for a blocker."""
+    head = f"SELECT entity_id, src, {BLOCKER_BITS[blocker]} AS bit,"
+    name, address = "business_name", "business_address"
+    column = {"name": name, "address": address}[blocker.split("_")[0]]
+    sig = _longest(_tokens(column, 3), 3)
+    if blocker in ("name_exact", "address_exact"):
+        c = "nf" if blocker == "name_exact" else "af"
+        return f"{head} {c} AS k1, '' AS k2 FROM full_records WHERE {c} <> ''"
+    if blocker in ("name_country", "address_country"):
+        c = "nf" if blocker == "name_country" else "af"
+        return f"{head} {c} AS k1, cf AS k2 FROM full_records WHERE {c} <> '' AND cf <> ''"
+    if blocker.endswith("_token_country"):
+        return f"{head} unnest({sig}) AS k1, cf AS k2 FROM full_records"
+    if blocker.endswith("_prefix_country"):
+        return f"SELECT * FROM ({head} left({sig}[1], 4) AS k1, cf AS k2 FROM full_records) WHERE k1 <> ''"
+    if blocker.endswith("_token_pair_country"):
+        top = _longest(_no_stop(_tokens(column, 2)), 2)
+        return f"{head} array_to_string(list_sort({top}), chr(30)) AS k1, cf AS k2 FROM full_records WHERE len({top}) = 2"
+    if blocker == "name_token":
+        return f"{head} unnest(list_distinct(list_filter(string_split(nn, ' '), lambda t: length(t) >= 4 AND lower(t) NOT IN {_STOP}))) AS k1, '' AS k2 FROM full_records"
+    codes = f"list_filter(list_distinct(list_transform({_longest(_no_stop(_tokens(name, 3)), 3)}, lambda w: {_soundex('w')})), lambda c: c <> '')"
+    return f"{head} unnest({codes}) AS k1, cf AS k2 FROM full_records"
+
+
+def _candidate_sql(blockers=tuple(BLOCKER_BITS), cap: int = 100, parts: bool = False) -> str:
+    """CTEs ending in cand: the fused candidates and their mask."""
+    keys = "\nUNION ALL ".join(_key_sql(b) for b in blockers)
+    names = ", ".join(f"CASE WHEN mask & {BLOCKER_BITS[b]} <> 0 THEN '{b}' END" for b in sorted(BLOCKER_BITS))
+    return f"""{_base(parts)}, keys AS ({keys}
+), rare AS (
+  SELECT src, bit, k1, k2 FROM keys WHERE src <> 'S1' GROUP BY ALL HAVING count(*) <= {cap}
+), masks AS (
+  SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, b.src AS candidate_source, bit_or(a.bit) AS mask
+  FROM keys a JOIN keys b ON a.src = 'S1' AND b.src <> 'S1' AND a.bit = b.bit AND a.k1 = b.k1 AND a.k2 = b.k2
+  JOIN rare r ON b.src = r.src AND b.bit = r.bit AND b.k1 = r.k1 AND b.k2 = r.k2
+  GROUP BY ALL
+), cand AS (
+  SELECT source1_entity_id, candidate_entity_id, candidate_source, concat_ws(',', {names}) AS blocker_sources, CAST(bit_count(mask) AS BIGINT) AS num_blockers, mask FROM masks
+)"""
+
+
+_TRUTH = """, truth AS (
+  SELECT a.entity_id AS source1_entity_id, b.entity_id AS matched_id FROM records a JOIN records b ON a.src = 'S1' AND b.src <> 'S1' AND md5(a.whole) = md5(b.whole)
+), ents AS (
+  SELECT entity_id AS source1_entity_id FROM records WHERE src = 'S1'
+)"""
+_SCORED = f""", scored AS (
+  SELECT c.*, round(({_jaccard("a.n", "b.n")} + {_jaccard("a.a", "b.a")}) / 2.0, 6) AS score
+  FROM cand c JOIN (SELECT entity_id, {_strip("business_name")} AS n, {_strip("business_address")} AS a FROM records) a ON a.entity_id = c.source1_entity_id
+  JOIN (SELECT entity_id, {_strip("business_name")} AS n, {_strip("business_address")} AS a FROM records) b ON b.entity_id = c.candidate_entity_id
+)"""
+_LABELLED = """, labelled AS (
+  SELECT s.*, CAST(t.matched_id IS NOT NULL AS INTEGER) AS label FROM scored s LEFT JOIN truth t ON t.source1_entity_id = s.source1_entity_id AND t.matched_id = s.candidate_entity_id
+)"""
+_RATES = """coalesce(round(tp / nullif(tp + fp, 0), 6), 0.0) AS precision, coalesce(round(tp / nullif(tp + fn, 0), 6), 0.0) AS recall,
+  coalesce(round(1.25 * (tp / nullif(tp + fp, 0)) * (tp / nullif(tp + fn, 0)) / nullif(0.25 * (tp / nullif(tp + fp, 0)) + tp / nullif(tp + fn, 0), 0), 6), 0.0) AS f05"""
+_CAND = f"WITH {_candidate_sql()}"
+_KEYS = "source1_entity_id, candidate_entity_id, candidate_source"
+
+
+# ---- text
+
+
+@_query(
+    "text_forms",
+    f"WITH {_base()} SELECT entity_id, nn AS name_normalized, an AS address_normalized, cn AS country_normalized, nf AS name_fingerprint, af AS address_fingerprint, cf AS country_fingerprint FROM full_records",
+)
+def text_forms(spark, sf):
+    records = blocking.prepare(adapters.document_records(spark, sf))
+    return records.select(
+        "entity_id", F.col("business_name_normalized").alias("name_normalized"), F.col("business_address_normalized").alias("address_normalized"), "country_normalized",
+        "name_fingerprint", "address_fingerprint", "country_fingerprint",
+    )
+
+
+@_query(
+    "text_signatures",
+    f"""WITH {_base()} SELECT entity_id, array_to_string({_longest(_tokens("business_name", 3), 3)}, ',') AS tokens, coalesce({_longest(_tokens("business_name", 3), 1)}[1], '') AS token,
+  coalesce(left({_longest(_tokens("business_address", 3), 1)}[1], 4), '') AS prefix,
+  CASE WHEN len({_longest(_no_stop(_tokens("business_address", 2)), 2)}) = 2 THEN array_to_string(list_sort({_longest(_no_stop(_tokens("business_address", 2)), 2)}), chr(30)) ELSE '' END AS pair,
+  array_to_string(list_filter(list_distinct(list_transform({_longest(_no_stop(_tokens("business_name", 3)), 3)}, lambda w: {_soundex("w")})), lambda c: c <> '').list_sort(), ',') AS codes,
+  array_to_string(list_sort(list_distinct(list_filter(string_split(nn, ' '), lambda t: length(t) >= 4 AND lower(t) NOT IN {_STOP}))), ',') AS words FROM full_records""",
+)
+def text_signatures(spark, sf):
+    records = blocking.prepare(adapters.document_records(spark, sf))
+    return records.select(
+        "entity_id", F.array_join(text.token_signatures("business_name"), ",").alias("tokens"), text.token_signature("business_name").alias("token"),
+        text.prefix_signature("business_address").alias("prefix"), text.token_pair_signature("business_address").alias("pair"),
+        F.array_join(F.array_sort(text.soundex_signatures("business_name")), ",").alias("codes"), F.array_join(F.array_sort(text.name_tokens("business_name_normalized")), ",").alias("words"),
+    )
+
+
+_ASCII = "trim(regexp_replace(lower(business_name), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@_query(
+    "text_recovery_forms",
+    rf"""WITH {_base()}, f AS (SELECT entity_id, business_name, trim(regexp_replace(strip_accents(lower({_strip("business_name")})), '[^a-z0-9]+', ' ', 'g')) AS r FROM records)
+  SELECT entity_id, r AS recovery, replace(r, ' ', '') AS compact, {_ASCII} AS ascii, array_to_string(list_sort(list_distinct(regexp_extract_all(r, '\d+'))), ',') AS numbers,
+  array_to_string(list_sort({_set("r")}), ' ') AS sorted_words, left(r, 8) AS leading,
+  CASE WHEN r = '' THEN 0 WHEN length(replace(r, ' ', '')) < 3 THEN 1 ELSE len(list_distinct(list_transform(range(1, length(replace(r, ' ', '')) - 1), lambda i: substr(replace(r, ' ', ''), i, 3)))) END AS grams FROM f""",
+)
+def text_recovery_forms(spark, sf):
+    df = adapters.document_records(spark, sf).select("entity_id", "business_name", text.recovery_normalize("business_name").alias("r"))
+    return df.select(
+        "entity_id", F.col("r").alias("recovery"), text.compact_text("business_name").alias("compact"), text.ascii_regex_normalize("business_name").alias("ascii"),
+        F.array_join(F.array_sort(text.number_tokens("business_name")), ",").alias("numbers"), text.sorted_tokens("r").alias("sorted_words"), text.leading_text("r").alias("leading"),
+        F.size(text.char_ngrams("r")).cast("long").alias("grams"),
+    )
+
+
+# ---- candidates
+
+
+def _block(blocker: str, parts: bool, cap: int) -> Query:
+    def run(spark, sf):
+        _, (s1, s2, s3) = _sources(spark, sf, parts)
+        config = BlockingConfig(max_exact_key_frequency=cap, max_signature_frequency=cap)
+        both = [blocking.run_signature_block(s1, t, n, blocker, config) for t, n in ((s2, "S2"), (s3, "S3"))]
+        return both[0].unionByName(both[1])
+
+    return run
+
+
+for _b in BLOCKER_BITS:
+    _query(f"block_{_b}", f"WITH {_candidate_sql((_b,), 40)} SELECT {_KEYS}, blocker_sources, num_blockers FROM cand")(_block(_b, False, 40))
+
+
+@_query("candidates", f"{_CAND} SELECT {_KEYS}, blocker_sources, num_blockers FROM cand")
+def candidates(spark, sf):
+    return _candidates(spark, sf)
+
+
+@_query("candidates_capped_parts", f"WITH {_candidate_sql(EXACT_BLOCKERS, PART_CAP, True)} SELECT {_KEYS}, blocker_sources, num_blockers FROM cand")
+def candidates_capped_parts(spark, sf):
+    config = BlockingConfig(max_exact_key_frequency=PART_CAP).only(*EXACT_BLOCKERS)
+    return blocking.generate_candidate_pairs(*_sources(spark, sf, True)[1], config)
+
+
+@_query("single_and_composite_blocks", f"WITH {_candidate_sql(('name_exact', 'address_country'), PART_CAP, True)} SELECT {_KEYS}, blocker_sources, num_blockers FROM cand")
+def single_and_composite_blocks(spark, sf):
+    _, (s1, s2, s3) = _sources(spark, sf, True)
+    frames = []
+    for target, name in ((s2, "S2"), (s3, "S3")):
+        frames.append(blocking.run_single_key_block(s1, target, name, "name_fingerprint", "name_exact", PART_CAP))
+        frames.append(blocking.run_composite_block(s1, target, name, "address_fingerprint", "country_fingerprint", "address_country", PART_CAP))
+    return blocking.fuse_candidate_pairs(frames)
+
+
+@_query("candidates_simple_variant")
+def candidates_simple_variant(spark, sf):
+    return blocking.generate_simple_candidates(*adapters.three_sources(adapters.document_records(spark, sf)))
+
+
+@_query("blocker_usage", f"{_CAND} SELECT b AS blocker, count(*) AS pairs, round(100.0 * count(*) / (SELECT count(*) FROM cand), 6) AS percent FROM (SELECT unnest(string_split(blocker_sources, ',')) AS b FROM cand) GROUP BY b")
+def blocker_usage(spark, sf):
+    return _rounded(evaluation.blocker_usage(_candidates(spark, sf)))
+
+
+@_query(
+    "blocker_unique_contribution",
+    f"{_CAND}, bits(blocker, bit) AS (VALUES {', '.join(f"('{n}', {b})" for n, b in BLOCKER_BITS.items())}) SELECT blocker, count(*) FILTER (WHERE mask & bit <> 0) AS touches, count(*) FILTER (WHERE mask = bit) AS unique_only FROM cand, bits GROUP BY blocker",
+)
+def blocker_unique_contribution(spark, sf):
+    return evaluation.unique_contribution(_candidates(spark, sf))
+
+
+_COUNTS = "SELECT source1_entity_id, count(*) AS n, count(*) FILTER (WHERE candidate_source = 'S2') AS s2, count(*) FILTER (WHERE candidate_source = 'S3') AS s3 FROM cand GROUP BY 1"
+
+
+@_query(
+    "candidate_summary",
+    f"""{_CAND} SELECT CAST(sum(n) AS BIGINT) AS total_candidate_pairs, count(*) AS unique_source1_entities, CAST(sum(s2) AS BIGINT) AS s2_candidate_pairs, CAST(sum(s3) AS BIGINT) AS s3_candidate_pairs,
+  round(avg(n), 6) AS average_candidates_per_source1, round(median(n), 6) AS median_candidates_per_source1, max(n) AS max_candidates_per_source1 FROM ({_COUNTS})""",
+)
+def candidate_summary(spark, sf):
+    return _rounded(evaluation.summarize_candidates(_candidates(spark, sf)))
+
+
+_PER = "SELECT e.source1_entity_id, coalesce(c.n, 0) AS n FROM ents e LEFT JOIN (SELECT source1_entity_id, count(*) AS n FROM cand GROUP BY 1) c USING (source1_entity_id)"
+
+
+@_query(
+    "candidate_distribution",
+    f"""{_CAND}{_TRUTH} SELECT count(*) AS num_source1_entities, CAST(sum(n) AS BIGINT) AS total_candidate_pairs, round(avg(n), 6) AS avg_candidates_per_s1, round(quantile_cont(n::DOUBLE, 0.5), 6) AS median_candidates_per_s1,
+  round(quantile_cont(n::DOUBLE, 0.9), 6) AS p90_candidates_per_s1, round(quantile_cont(n::DOUBLE, 0.95), 6) AS p95_candidates_per_s1, round(quantile_cont(n::DOUBLE, 0.99), 6) AS p99_candidates_per_s1, max(n) AS max_candidates_per_s1 FROM ({_PER})""",
+)
+def candidate_distribution(spark, sf):
+    return _rounded(evaluation.candidate_distribution(_truth(spark, sf)[0], _candidates(spark, sf)))
+
+
+# ---- retrieval
+
+_HITS = "SELECT t.*, c.mask IS NOT NULL AS hit FROM truth t LEFT JOIN cand c ON c.source1_entity_id = t.source1_entity_id AND c.candidate_entity_id = t.matched_id"
+
+
+@_query("candidate_recall", f"{_CAND}{_TRUTH} SELECT count(*) AS total_true_matches, count(*) FILTER (WHERE hit) AS retrieved_true_matches, round(count(*) FILTER (WHERE hit) / count(*), 6) AS candidate_recall FROM ({_HITS})")
+def candidate_recall(spark, sf):
+    return _rounded(evaluation.candidate_recall(_truth(spark, sf)[1], _candidates(spark, sf)))
+
+
+@_query("candidate_labels", f"{_CAND}{_TRUTH}{_SCORED}{_LABELLED} SELECT {_KEYS}, score, label FROM labelled")
+def candidate_labels(spark, sf):
+    return _labelled(spark, sf)
+
+
+@_query(
+    "retrieval_report",
+    f"""{_CAND}{_TRUTH}, h AS ({_HITS}), per AS (
+  SELECT e.source1_entity_id, coalesce(c.n, 0) AS n, coalesce(h.t, 0) AS t, coalesce(h.k, 0) AS k FROM ents e
+  LEFT JOIN (SELECT source1_entity_id, count(*) AS n FROM cand GROUP BY 1) c USING (source1_entity_id)
+  LEFT JOIN (SELECT source1_entity_id, count(*) AS t, count(*) FILTER (WHERE hit) AS k FROM h GROUP BY 1) h USING (source1_entity_id)
+), x AS (SELECT count(*) AS total_true_matches, count(*) FILTER (WHERE hit) AS true_matches_retrieved, count(*) FILTER (WHERE matched_id LIKE 'S2-%') AS s2_true_matches, count(*) FILTER (WHERE hit AND matched_id LIKE 'S2-%') AS s2_retrieved,
+  count(*) FILTER (WHERE matched_id LIKE 'S3-%') AS s3_true_matches, count(*) FILTER (WHERE hit AND matched_id LIKE 'S3-%') AS s3_retrieved FROM h
+), y AS (SELECT count(*) FILTER (WHERE t > 0 AND k = 0) AS s1_entities_with_completely_missed_true_matches, round(avg(n), 6) AS candidate_count_mean, round(quantile_cont(n::DOUBLE, 0.5), 6) AS candidate_count_median,
+  round(quantile_cont(n::DOUBLE, 0.9), 6) AS candidate_count_p90, round(quantile_cont(n::DOUBLE, 0.95), 6) AS candidate_count_p95, round(quantile_cont(n::DOUBLE, 0.99), 6) AS candidate_count_p99, max(n) AS candidate_count_max,
+  count(*) FILTER (WHERE t = 0) AS no_match_s1_entities, count(*) FILTER (WHERE t = 0 AND n > 0) AS no_match_s1_entities_with_candidates, count(*) FILTER (WHERE t > 1) AS multi_match_s1_entities,
+  CAST(coalesce(sum(t) FILTER (WHERE t > 1), 0) AS BIGINT) AS multi_match_true_matches, count(*) FILTER (WHERE t > 1 AND t = k) AS multi_match_fully_retrieved_entities FROM per)
+SELECT *, (SELECT count(*) FROM cand) AS total_candidate_pairs, total_true_matches - true_matches_retrieved AS true_matches_missed, round(true_matches_retrieved / total_true_matches, 6) AS candidate_recall,
+  s2_true_matches - s2_retrieved AS s2_missed, s3_true_matches - s3_retrieved AS s3_missed, round(s2_retrieved / s2_true_matches, 6) AS s2_recall, round(s3_retrieved / s3_true_matches, 6) AS s3_recall FROM x, y""",
+)
+def retrieval_report(spark, sf):
+    return _rounded(evaluation.retrieval_report(*_truth(spark, sf), _candidates(spark, sf)))
+
+
+@_query(
+    "singleton_safety",
+    f"""{_CAND}{_TRUTH} SELECT count(*) AS singletons, count(n) AS with_candidates, round(coalesce(avg(n), 0.0), 6) AS mean_candidates, coalesce(max(n), 0) AS max_candidates
+  FROM (SELECT source1_entity_id FROM ents WHERE source1_entity_id NOT IN (SELECT source1_entity_id FROM truth)) LEFT JOIN (SELECT source1_entity_id, count(*) AS n FROM cand GROUP BY 1) USING (source1_entity_id)""",
+)
+def singleton_safety(spark, sf):
+    return _rounded(evaluation.singleton_safety(*_truth(spark, sf), _candidates(spark, sf)))
+
+
+@_query("truth_targets", f"WITH {_base()}{_TRUTH} SELECT source1_entity_id, matched_id, left(matched_id, 2) AS target_source FROM truth")
+def truth_targets(spark, sf):
+    records, (_, s2, s3) = _sources(spark, sf)
+    return evaluation.resolve_targets(adapters.document_truth(records)[1], s2, s3)
+
+
+@_query(
+    "union_recall",
+    f"""{_CAND}{_TRUTH}, h AS (SELECT t.*, coalesce(c.mask & 15 <> 0, false) AS b, coalesce(c.mask & 4080 <> 0, false) AS f FROM truth t LEFT JOIN cand c ON c.source1_entity_id = t.source1_entity_id AND c.candidate_entity_id = t.matched_id)
+SELECT scope, count(*) AS pairs, count(*) FILTER (WHERE b) AS base_hits, count(*) FILTER (WHERE f) AS more_hits, count(*) FILTER (WHERE b OR f) AS union_hits, count(*) FILTER (WHERE f AND NOT b) AS new_hits,
+  round(count(*) FILTER (WHERE b) / count(*), 6) AS base_recall, round(count(*) FILTER (WHERE f) / count(*), 6) AS more_recall, round(count(*) FILTER (WHERE b OR f) / count(*), 6) AS union_recall
+FROM (SELECT *, unnest(['ALL', left(matched_id, 2)]) AS scope FROM h) GROUP BY scope""",
+)
+def union_recall(spark, sf):
+    records, (s1, s2, s3) = _sources(spark, sf)
+    others = [b for b in BLOCKER_BITS if b not in EXACT_BLOCKERS]
+    base, more = (blocking.generate_candidate_pairs(s1, s2, s3, BlockingConfig().only(*b)) for b in (EXACT_BLOCKERS, others))
+    return _rounded(evaluation.union_recall(evaluation.resolve_targets(adapters.document_truth(records)[1], s2, s3), base, more))
+
+
+# ---- features
+
+
+def _flag(x: str) -> str:
+    return f"CAST({x} AS INTEGER)::DOUBLE"
+
+
+@_query(
+    "features_built_in",
+    f"""{_CAND}, r AS (SELECT entity_id, {_strip("business_name")} AS n, {_strip("business_address")} AS a, {_strip("country")} AS c FROM records)
+SELECT {_KEYS}, {_flag("a.n <> '' AND a.n = b.n")} AS name_exact, round({_jaccard("a.n", "b.n")}, 6) AS name_jaccard, abs(length(a.n) - length(b.n))::DOUBLE AS name_length_difference,
+  {_flag("a.a <> '' AND a.a = b.a")} AS address_exact, round({_jaccard("a.a", "b.a")}, 6) AS address_jaccard, abs(length(a.a) - length(b.a))::DOUBLE AS address_length_difference,
+  {_flag("a.a <> '' AND b.a <> ''")} AS address_available_both, {_flag("candidate_source = 'S2' AND b.a = ''")} AS address_missing_source2, {_flag("candidate_source = 'S3' AND b.a = ''")} AS address_missing_source3,
+  {_flag("a.c <> '' AND a.c = b.c")} AS country_exact, {_flag("mask & 3381 <> 0")} AS was_name_block, {_flag("mask & 714 <> 0")} AS was_address_block, {_flag("mask & 3068 <> 0")} AS was_country_block,
+  {_flag("mask & 1 <> 0")} AS has_exact_name_block, {_flag("mask & 2 <> 0")} AS has_exact_address_block, {_flag("num_blockers >= 2")} AS multiple_independent_blockers, num_blockers::DOUBLE AS num_blockers
+FROM cand JOIN r a ON a.entity_id = source1_entity_id JOIN r b ON b.entity_id = candidate_entity_id""",
+)
+def features_built_in(spark, sf):
+    _, (s1, s2, s3) = _sources(spark, sf)
+    out = FeatureEngineer().transform(s1, s2, s3, blocking.generate_candidate_pairs(s1, s2, s3))
+    return _rounded(out.select(*CANDIDATE_KEY, *BUILT_IN_FEATURES))
+
+
+@_query("features")
+def features(spark, sf):
+    _, (s1, s2, s3) = _sources(spark, sf)
+    return FeatureEngineer().transform(s1, s2, s3, blocking.generate_candidate_pairs(s1, s2, s3))
+
+
+# ---- decisions
+
+_DECIDED = f""", ranked AS (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY score DESC, candidate_entity_id) AS i FROM scored), decided AS (
+  SELECT source1_entity_id, count(*) AS candidate_count, count(*) FILTER (WHERE score >= {THRESHOLD}) AS accepted_count, max(score) AS best_score, coalesce(max(score) FILTER (WHERE i = 2), 0.0) AS second_best_score,
+    max(score) - coalesce(max(score) FILTER (WHERE i = 2), 0.0) AS score_gap, coalesce(string_agg(candidate_entity_id, ',' ORDER BY i) FILTER (WHERE score >= {THRESHOLD}), '') AS matched FROM ranked GROUP BY source1_entity_id)"""
+
+
+@_query(
+    "linkage_decisions",
+    f"{_CAND}{_SCORED}{_DECIDED} SELECT source1_entity_id, candidate_count, accepted_count, best_score, second_best_score, round(score_gap, 6) AS score_gap, accepted_count >= 2 AND score_gap <= {GAP}::DOUBLE AS has_conflict, matched AS matched_entity_ids FROM decided",
+)
+def linkage_decisions(spark, sf):
+    out = decisions.ConflictEngine(THRESHOLD, GAP).decide(_scored(spark, sf), validate=False)
+    return out.withColumn("score_gap", F.round("score_gap", 6)).withColumn("matched_entity_ids", F.array_join("matched_entity_ids", ","))
+
+
+@_query("match_table", f"{_CAND}{_SCORED} SELECT {_KEYS}, score FROM scored WHERE score >= {THRESHOLD}")
+def match_table(spark, sf):
+    return decisions.ConflictEngine(THRESHOLD, GAP).get_match_table(_scored(spark, sf), validate=False)
+
+
+@_query("matching_results", f"{_CAND}{_TRUTH}{_SCORED}{_DECIDED} SELECT source1_entity_id, coalesce(matched, '') AS matched_entity_ids FROM ents LEFT JOIN decided USING (source1_entity_id)")
+def matching_results(spark, sf):
+    scored = _scored(spark, sf)
+    decided = decisions.ConflictEngine(THRESHOLD, GAP).decide(scored, validate=False)
+    return decisions.OutputGenerator().build_matching_results(_sources(spark, sf)[1][0], decided, scored)
+
+
+@_query("best_candidate", f"{_CAND}{_TRUTH} SELECT source1_entity_id, coalesce(b, '') AS matched_entity_ids FROM ents LEFT JOIN (SELECT source1_entity_id, arg_min(candidate_entity_id, {{'n': -num_blockers, 'c': candidate_entity_id}}) AS b FROM cand GROUP BY 1) USING (source1_entity_id)")
+def best_candidate(spark, sf):
+    return decisions.best_candidate(_sources(spark, sf)[1][0], _candidates(spark, sf))
+
+
+@_query("wide_candidates", f"{_CAND}{_TRUTH} SELECT source1_entity_id, coalesce(b, '') AS candidate_entity_ids FROM ents LEFT JOIN (SELECT source1_entity_id, string_agg(DISTINCT candidate_entity_id, ',' ORDER BY candidate_entity_id) AS b FROM cand GROUP BY 1) USING (source1_entity_id)")
+def wide_candidates(spark, sf):
+    return decisions.long_to_wide(_sources(spark, sf)[1][0], _candidates(spark, sf))
+
+
+@_query("wide_to_long", f"{_CAND} SELECT DISTINCT source1_entity_id, candidate_entity_id FROM cand")
+def wide_to_long(spark, sf):
+    return decisions.wide_to_long(wide_candidates(spark, sf))
+
+
+@_query("new_pairs", f"{_CAND} SELECT source1_entity_id, candidate_entity_id, candidate_source FROM cand WHERE mask & 15 = 0")
+def new_pairs(spark, sf):
+    s1, s2, s3 = _sources(spark, sf)[1]
+    base = blocking.generate_candidate_pairs(s1, s2, s3, BlockingConfig.exact_only())
+    return evaluation.new_against_base(_candidates(spark, sf), base).select(*CANDIDATE_KEY)
+
+
+# ---- metrics
+
+_CONFUSION = "count(*) FILTER (WHERE score >= t AND label = 1) AS tp, count(*) FILTER (WHERE score >= t AND label = 0) AS fp, count(*) FILTER (WHERE score < t AND label = 1) AS fn, count(*) FILTER (WHERE score < t AND label = 0) AS tn"
+_ALL_LABELLED = f"{_CAND}{_TRUTH}{_SCORED}{_LABELLED}"
+
+
+@_query("binary_metrics", f"{_ALL_LABELLED} SELECT *, {_RATES} FROM (SELECT {_CONFUSION} FROM labelled, (SELECT {THRESHOLD}::DOUBLE AS t))")
+def binary_metrics(spark, sf):
+    return _rounded(evaluation.binary_metrics(_labelled(spark, sf), THRESHOLD))
+
+
+@_query("threshold_sweep", f"{_ALL_LABELLED} SELECT t AS threshold, tp, fp, fn, tn, {_RATES} FROM (SELECT t, {_CONFUSION} FROM labelled, (SELECT unnest({SWEEP})::DOUBLE AS t) GROUP BY t)")
+def threshold_sweep(spark, sf):
+    return _rounded(evaluation.threshold_sweep(_labelled(spark, sf), SWEEP))
+
+
+_CURVE = f"SELECT t AS threshold, tp, fp, fn, tn, {_RATES} FROM (SELECT t, {_CONFUSION} FROM labelled, (SELECT DISTINCT score AS t FROM labelled) GROUP BY t)"
+
+
+@_query("precision_recall_curve", f"{_ALL_LABELLED} {_CURVE}")
+def precision_recall_curve(spark, sf):
+    return _rounded(evaluation.precision_recall_curve(_labelled(spark, sf)))
+
+
+@_query("best_threshold", f"{_ALL_LABELLED} SELECT f05, precision, threshold, recall, tp, fp, fn, tn FROM ({_CURVE}) ORDER BY f05 DESC, precision DESC, threshold DESC LIMIT 1")
+def best_threshold(spark, sf):
+    return _rounded(evaluation.best_threshold(evaluation.precision_recall_curve(_labelled(spark, sf))))
+
+
+_ENTITY = f"""per AS (
+  SELECT source1_entity_id, count(*) FILTER (WHERE t AND p) AS tp, count(*) FILTER (WHERE p AND NOT t) AS fp, count(*) FILTER (WHERE t AND NOT p) AS fn
+  FROM (SELECT source1_entity_id, id, bool_or(k = 't') AS t, bool_or(k = 'p') AS p FROM (SELECT source1_entity_id, matched_id AS id, 't' AS k FROM truth UNION ALL SELECT source1_entity_id, candidate_entity_id, 'p' FROM scored WHERE score >= {THRESHOLD}) GROUP BY 1, 2) GROUP BY 1
+), metrics AS (
+  SELECT source1_entity_id, coalesce(tp, 0) AS tp, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn,
+    CASE WHEN coalesce(tp + fp + fn, 0) = 0 THEN 1.0 WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS p, CASE WHEN coalesce(tp + fp + fn, 0) = 0 THEN 1.0 WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS r
+  FROM ents LEFT JOIN per USING (source1_entity_id)
+), entity AS (SELECT *, CASE WHEN 0.25 * p + r = 0 THEN 0.0 ELSE 1.25 * p * r / (0.25 * p + r) END AS f FROM metrics)"""
+
+
+@_query("entity_metrics", f"{_CAND}{_TRUTH}{_SCORED}, {_ENTITY} SELECT source1_entity_id, tp, fp, fn, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f05 FROM entity")
+def entity_metrics(spark, sf):
+    return _rounded(evaluation.entity_metrics(*_truth(spark, sf), _scored(spark, sf).filter(F.col("score") >= THRESHOLD)))
+
+
+@_query("macro_metrics", f"{_CAND}{_TRUTH}{_SCORED}, {_ENTITY} SELECT round(avg(p), 6) AS precision, round(avg(r), 6) AS recall, round(avg(f), 6) AS f05 FROM entity")
+def macro_metrics(spark, sf):
+    return _rounded(evaluation.macro_metrics(*_truth(spark, sf), _scored(spark, sf).filter(F.col("score") >= THRESHOLD)))
+
+
+@_query(
+    "error_classes",
+    f"""{_ALL_LABELLED} SELECT source1_entity_id, candidate_entity_id, CASE WHEN score >= {THRESHOLD} AND label = 1 THEN 'TP' WHEN score >= {THRESHOLD} THEN 'FP' ELSE 'FN_WITH_CANDIDATE' END AS error_class FROM labelled WHERE score >= {THRESHOLD} OR label = 1
+UNION ALL SELECT t.source1_entity_id, matched_id, 'BLOCKING_FAILURE' FROM truth t WHERE NOT EXISTS (SELECT 1 FROM cand c WHERE c.source1_entity_id = t.source1_entity_id AND c.candidate_entity_id = t.matched_id)""",
+)
+def error_classes(spark, sf):
+    scored = _scored(spark, sf)
+    predicted = scored.withColumn("prediction", (F.col("score") >= THRESHOLD).cast("int"))
+    return evaluation.classify_candidate_errors(scored, _truth(spark, sf)[1], predicted)
+
+
+# ---- sampling, learning, recovery: no equivalent SQL
+
+
+@_query("entity_split")
+def entity_split(spark, sf):
+    return matcher.split_source1_entities(_truth(spark, sf)[0])
+
+
+@_query("random_negatives")
+def random_negatives(spark, sf):
+    records, (s1, s2, s3) = _sources(spark, sf)
+    targets = s2.withColumn("candidate_source", F.lit("S2")).unionByName(s3.withColumn("candidate_source", F.lit("S3")))
+    return matcher.random_negatives(s1, targets, adapters.document_truth(records)[1])
+
+
+@_query("sampled_sources")
+def sampled_sources(spark, sf):
+    return tsv.sample_rows(adapters.document_records(spark, sf), 200)
+
+
+@_query("train_and_infer")
+def train_and_infer(spark, sf):
+    records, (s1, s2, s3) = _sources(spark, sf)
+    pairs = blocking.generate_candidate_pairs(s1, s2, s3)
+    trainer = linkage.MatcherTrainer(matcher.EntityMatcher(max_iter=10, max_depth=3))
+    trained = trainer.train(s1, s2, s3, pairs, adapters.document_truth(records)[1])
+    pipeline = linkage.InferencePipeline(matcher=trained.matcher, threshold=trained.threshold_result.threshold)
+    return pipeline.run(s1, s2, s3, pairs)["matching_results"]
+
+
+def _recovery_pairs(spark, sf):
+    _, (s1, s2, s3) = _sources(spark, sf)
+    return FeatureEngineer().attach_records(s1, s2, s3, blocking.generate_candidate_pairs(s1, s2, s3, BlockingConfig().only("name_token_pair_country", "address_token_pair_country")))
+
+
+@_query("recovery_classes")
+def recovery_classes(spark, sf):
+    out = recovery.classify_recovery(_recovery_pairs(spark, sf))
+    return out.select(*CANDIDATE_KEY, "name_score", "address_score", "address_number_overlap", "combined_score", "recovery_class")
+
+
+@_query("recovered_candidates")
+def recovered_candidates(spark, sf):
+    return recovery.fuse_with_fuzzy(_candidates(spark, sf), recovery.recovered_candidates(recovery.classify_recovery(_recovery_pairs(spark, sf))))
+
+
+@_query("ngram_fuzzy_hits")
+def ngram_fuzzy_hits(spark, sf):
+    return recovery.ngram_hits(_recovery_pairs(spark, sf)).select(*CANDIDATE_KEY, "name_score", "address_score", "country_match", "hit")
+
+
+@_query("fuzzy_country_join")
+def fuzzy_country_join(spark, sf):
+    s1, s2, s3 = adapters.three_sources(adapters.part_records(spark, sf))
+    targets = s2.withColumn("candidate_source", F.lit("S2")).unionByName(s3.withColumn("candidate_source", F.lit("S3")))
+    return recovery.fuzzy_pairs(s1, targets)
+
+
+@_query("fuzzy_threshold_sweep")
+def fuzzy_threshold_sweep(spark, sf):
+    return recovery.fuzzy_threshold_sweep(recovery.ngram_hits(_recovery_pairs(spark, sf)))
+
+
+@_query("score_quadrants")
+def score_quadrants(spark, sf):
+    return recovery.score_quadrants(recovery.recovery_scores(_recovery_pairs(spark, sf)))
+
+
+@_query("recovery_efficiency")
+def recovery_efficiency(spark, sf):
+    return recovery.recovery_efficiency(_candidates(spark, sf), _truth(spark, sf)[1])
+
+
+@_query("score_description")
+def score_description(spark, sf):
+    return evaluation.describe(_scored(spark, sf), ["score"])
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
