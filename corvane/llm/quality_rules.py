@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from corvane.llm.common import map_texts
 
 #: n-gram length: largest share of word characters inside n-grams that occur twice or more.
-NGRAM_LIMITS = {5: 0.30, 6: 0.28, 7: 0.26, 8: 0.24, 9: 0.22, 10: 0.20}
+NGRAM_LIMITS = {5: 0.50, 6: 0.49, 7: 0.48, 8: 0.47, 9: 0.46, 10: 0.45}
 MIN_WORDS = 50
 MAX_LINE_SHARE = 0.30
 MAX_SYMBOL_SHARE = 0.20
