@@ -53,6 +53,34 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+_LIMITS = quality_rules.NGRAM_LIMITS
+OP2_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT unnest({[3, *_LIMITS]}) AS n) WHERE len(w) >= n)
+), again AS (
+  SELECT doc_id, n, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, n, g) AS c FROM places) WHERE c > 1
+), cover AS (
+  SELECT doc_id, n, count(*) AS words, sum(length(w[spot])) AS chars
+  FROM (SELECT DISTINCT doc_id, n, unnest(range(i, i + n)) AS spot FROM again) JOIN d USING (doc_id) GROUP BY doc_id, n
+), lines AS (
+  SELECT doc_id, count(*) FILTER (WHERE k > 1) AS n_dup_lines, sum(strlen(line)) FILTER (WHERE k > 1) AS dup_line_chars, sum(strlen(line)) AS line_chars
+  FROM (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS k FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]'))
+  GROUP BY doc_id
+), x AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda a: length(a))), 0) AS BIGINT) AS word_chars, length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce((SELECT words FROM cover c WHERE c.doc_id = d.doc_id AND n = 3), 0) AS n_repeat_words,
+    CAST(coalesce(dup_line_chars, 0) AS BIGINT) AS dup_line_chars, CAST(coalesce(line_chars, 0) AS BIGINT) AS line_chars,
+    {", ".join(f"CAST(coalesce((SELECT chars FROM cover c WHERE c.doc_id = d.doc_id AND n = {n}), 0) AS BIGINT) AS dup_chars_{n}" for n in _LIMITS)}
+  FROM d LEFT JOIN lines USING (doc_id)
+), y AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM x)
+SELECT *, NOT (base_failed OR n_symbols > {quality_rules.MAX_SYMBOL_SHARE}::DOUBLE * n_words OR dup_line_chars > {quality_rules.MAX_LINE_SHARE}::DOUBLE * line_chars
+  OR {" OR ".join(f"dup_chars_{n} > {x}::DOUBLE * word_chars" for n, x in _LIMITS.items())}) AS kept FROM y
+"""
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -106,6 +134,29 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP8_SQL = """
+WITH h AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), s AS (
+  SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS i FROM h WHERE length(x) >= 100)
+), f AS (
+  SELECT s, min(doc_id) AS m FROM s GROUP BY s HAVING min(doc_id) < max(doc_id)
+), c AS (
+  SELECT DISTINCT s.doc_id, i FROM s JOIN f ON s.s = f.s WHERE m < s.doc_id
+), g AS (
+  SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM (SELECT *, CAST(i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -99) + 50 AS INTEGER) AS fresh FROM c)
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, g
+), pieces AS (
+  SELECT doc_id, a, b, substr(x, 2 * before + 1, 2 * (a - before)) AS piece FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans) JOIN h USING (doc_id)
+), kept AS (
+  SELECT doc_id, string_agg(piece, '' ORDER BY a) AS head, max(b) AS tail, count(*) AS n_spans, sum(b - a) AS n_removed FROM pieces GROUP BY doc_id
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256 FROM h LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -138,4 +189,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op5_url_rules": OP5_SQL, "op10_chat": OP10_SQL}
+    return {"op1_decontamination": OP1_SQL, "op2_quality_rules": OP2_SQL, "op5_url_rules": OP5_SQL, "op8_suffix_dedup": OP8_SQL, "op10_chat": OP10_SQL}
