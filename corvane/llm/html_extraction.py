@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from corvane.llm import html_pages
 from corvane.llm.common import chunks_by_bytes, map_texts
 
-PAGES = 600
+PAGES = 1200
 SEED = 6
-ROUNDS = 250
+ROUNDS = 300
 CHUNK = 8 << 20
 
 TOKEN = re.compile(
@@ -57,7 +57,7 @@ HINTS = {
     "head": "header masthead banner logo branding hero top",
     "foot": "footer copyright colophon bottom legal imprint contentinfo",
     "side": "sidebar aside widget related recommend popular trending rail complementary more outbrain taboola teaser",
-    "ad": "ad ads adv advert advertisement sponsor sponsored promo promoted promotion adsense commercial dfp partner affiliate",
+    "ad": "ad ads adv advert advertisement sponsor sponsored promo promoted promotion adsense adsby adslot adunit commercial dfp partner affiliate",
     "notice": "notice cookie cookies consent gdpr alert alertdialog popup modal overlay toast newsletter subscribe paywall disclaimer warning notification message",
     "talk": "comment comments reply replies discussion disqus respond thread feedback reviews",
     "form": "form search login signup signin register contact poll survey captcha button btn",
@@ -88,8 +88,8 @@ def _hints(attributes: str) -> tuple[tuple[str, ...], bool]:
         elif name in ("class", "id", "role"):
             words += " " + value
     if words:
-        alone = frozenset(re.split(r"[^a-z]+", words))
-        found = [h for h in HINTS if alone & ALONE[h] or LONG[h].search(words)]
+        alone, joined = frozenset(re.split(r"[^a-z]+", words)), re.sub("[-_]", "", words)
+        found = [h for h in HINTS if alone & ALONE[h] or LONG[h].search(joined)]
     return tuple(found), hidden
 
 
