@@ -190,7 +190,9 @@ def simhash_components(
     roots = connected_components(near_links(nodes, radius, max_bucket), "a", "b")
     with_root = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     with_root = cut(with_root)
+    # materialised, so that the join below sees two plain exchanges and can split a large component
     smallest = with_root.groupBy("root").agg(F.min("first").alias("component_id"))
+    smallest = cut(smallest)
     ids = with_root.join(smallest, "root").select("fp", "component_id", "root")
     out = rows.join(ids, "fp", "left")
     return out.select(*keys, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
