@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import cache
+from functools import cache, lru_cache
 from html import unescape
 
 import numpy as np
@@ -77,7 +77,7 @@ AT = {name: i for i, name in enumerate(NAMES)}
 KINDS = 16  # of edges: 4 kinds of parent (bad hint or tag, good hint or tag, text element, other) by 4 kinds of child
 
 
-@cache
+@lru_cache(maxsize=1 << 15)
 def _hints(attributes: str) -> tuple[tuple[str, ...], bool]:
     """(hints, hidden) of a tag's attributes."""
     found, hidden, words = [], False, ""
