@@ -177,6 +177,13 @@ def apply_key_frequency_cap(keys: DataFrame, config: BlockingConfig, by: tuple[s
     return keys.join(rare, list(by), "left_semi")
 
 
+def cap_key_frequency(df: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """Rows whose key occurs at most ``most`` times; all rows if ``most`` is not positive."""
+    if most <= 0:
+        return df
+    return df.join(df.groupBy(*keys).count().filter(F.col("count") <= most).select(*keys), keys, "left_semi")
+
+
 def _check_prepared(df: DataFrame, config: BlockingConfig, name: str) -> None:
     contracts.require_columns(df, [*contracts.SOURCE_COLUMNS, *contracts.FINGERPRINT_COLUMNS], name)
     if config.enable_name_token:
@@ -272,9 +279,7 @@ def run_composite_block(source1: DataFrame, target: DataFrame, target_source: st
 def _column_block(source1: DataFrame, target: DataFrame, target_source: str, columns: list[str], blocker: str, cap: int) -> DataFrame:
     key = [f"_k{i}" for i in range(len(columns))]
     keyed = lambda df: df.select("entity_id", *[text.strip(c).alias(k) for c, k in zip(columns, key, strict=True)]).filter(" AND ".join(f"{k} <> ''" for k in key))
-    right = keyed(target)
-    if cap > 0:
-        right = right.join(right.groupBy(*key).count().filter(F.col("count") <= cap).select(*key), key, "left_semi")
+    right = cap_key_frequency(keyed(target), key, cap)
     met = keyed(source1).withColumnRenamed("entity_id", "source1_entity_id").join(right, key)
     return _one_blocker(met.select("source1_entity_id", F.col("entity_id").alias("candidate_entity_id")), target_source, blocker)
 
@@ -296,29 +301,34 @@ def _one_blocker(pairs: DataFrame, target_source: str, blocker: str) -> DataFram
     )
 
 
-def emergency_config() -> dict[str, tuple[str, ...]]:
-    """The variant's eight blockers and the columns of their keys, over its own normalised forms."""
-    return {
-        "name_exact": ("name",), "address_exact": ("address",), "name_country": ("name", "country"), "address_country": ("address", "country"),
-        "name_token_country": ("name_tokens", "country"), "name_prefix_country": ("name_prefix", "country"),
-        "address_token_country": ("address_tokens", "country"), "address_prefix_country": ("address_prefix", "country"),
-    }
+#: The variant's blockers and the columns of their keys.
+SIMPLE_KEYS = {
+    "name_exact": ("name",), "address_exact": ("address",), "name_country": ("name", "country"), "address_country": ("address", "country"),
+    "name_token_country": ("name_tokens", "country"), "name_prefix_country": ("name_prefix", "country"),
+    "address_token_country": ("address_tokens", "country"), "address_prefix_country": ("address_prefix", "country"),
+}
 
 
 def generate_simple_candidates(source1: DataFrame, source2: DataFrame, source3: DataFrame, cap: int = 100) -> DataFrame:
     """The eight-blocker variant: sorted word sets and 8-character prefixes of the recovery form as keys."""
 
-    def keyed(df: DataFrame) -> DataFrame:
+    def keyed(df: DataFrame, source: str) -> DataFrame:
         name, address, country = (text.recovery_normalize(c) for c in contracts.SOURCE_COLUMNS[1:])
         base = df.select("entity_id", name.alias("name"), address.alias("address"), country.alias("country"))
-        return base.select(
+        forms = base.select(
             "*", text.sorted_tokens("name").alias("name_tokens"), text.sorted_tokens("address").alias("address_tokens"),
             text.leading_text("name").alias("name_prefix"), text.leading_text("address").alias("address_prefix"),
         )
-
-    blocks = []
-    left = keyed(source1)
-    for source, df in (("S2", source2), ("S3", source3)):
-        right = keyed(df)
-        blocks += [_column_block(left, right, source, list(columns), blocker, cap) for blocker, columns in emergency_config().items()]
-    return fuse_candidate_pairs(blocks)
+        keys = [
+            F.when(F.greatest(*[F.col(c) == "" for c in columns], F.lit(False)), None).otherwise(
+                F.struct(F.lit(BLOCKER_BITS[b]).alias("bit"), F.col(columns[0]).alias("k1"), (F.col(columns[1]) if columns[1:] else F.lit("")).alias("k2"))
+            )
+            for b, columns in SIMPLE_KEYS.items()
+        ]
+        rows = F.filter(F.array(*keys), lambda k: F.isnotnull(k))
+        return forms.select(F.lit(source).alias("source"), "entity_id", F.inline(rows))
+
+    targets = cap_key_frequency(keyed(source2, "S2").unionByName(keyed(source3, "S3")), ["source", "bit", "k1", "k2"], cap)
+    left = keyed(source1, "S1").select(F.col("entity_id").alias("source1_entity_id"), "bit", "k1", "k2")
+    met = left.join(targets, ["bit", "k1", "k2"])
+    return _fused(met.select("source1_entity_id", F.col("entity_id").alias("candidate_entity_id"), F.col("source").alias("candidate_source"), "bit"), "bit")

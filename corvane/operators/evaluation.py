@@ -32,6 +32,11 @@ def true_matches(gt_pair: DataFrame, source1_entity_id: str) -> DataFrame:
     return gt_pair.filter(F.col("source1_entity_id") == source1_entity_id).select("matched_id").distinct()
 
 
+def is_true_match(gt_pair: DataFrame, source1_entity_id: str, candidate_entity_id: str) -> bool:
+    """Whether one pair is true; for many pairs use ``label_candidate_pairs``."""
+    return bool(true_matches(gt_pair, source1_entity_id).filter(F.col("matched_id") == candidate_entity_id).limit(1).count())
+
+
 def entity_metrics(gt_entity: DataFrame, gt_pair: DataFrame, predictions: DataFrame, predicted: str = "candidate_entity_id") -> DataFrame:
     """tp, fp, fn, precision, recall and f05 per ground-truth entity.
 

@@ -133,17 +133,26 @@ def fuse_with_fuzzy(candidate_pairs: DataFrame, fuzzy: DataFrame) -> DataFrame:
     return fused.withColumn("is_fuzzy", F.col("blocker_sources").endswith(FUZZY_BLOCKER))
 
 
-def fuzzy_threshold_sweep(scored: DataFrame, thresholds: tuple[float, ...] = (0.50, 0.55, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90, 0.95)) -> DataFrame:
+SWEEP = (0.30, 0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65, 0.70, 0.75)
+TOKEN_SET_SWEEP = (0.50, 0.55, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90)
+
+
+def fuzzy_threshold_sweep(scored: DataFrame, thresholds: tuple[float, ...] = SWEEP, name: str = "name_score", address: str = "address_score") -> DataFrame:
     """(threshold, name_hits, address_hits, either_hits, pairs) of scored pairs."""
-    per = scored.select("name_score", "address_score", F.explode(F.array(*map(F.lit, thresholds))).alias("threshold"))
-    n, a = F.col("name_score") >= F.col("threshold"), F.col("address_score") >= F.col("threshold")
+    per = scored.select(F.col(name).alias("n"), F.col(address).alias("a"), F.explode(F.array(*map(F.lit, thresholds))).alias("threshold"))
+    n, a = F.col("n") >= F.col("threshold"), F.col("a") >= F.col("threshold")
     return per.groupBy("threshold").agg(F.count_if(n).alias("name_hits"), F.count_if(a).alias("address_hits"), F.count_if(n | a).alias("either_hits"), F.count(F.lit(1)).alias("pairs"))
 
 
-def score_quadrants(scored: DataFrame, high: float = 0.70, low: float = 0.40) -> DataFrame:
+def token_set_coverage(scored: DataFrame) -> DataFrame:
+    """The sweep over the token-set scores."""
+    return fuzzy_threshold_sweep(scored, TOKEN_SET_SWEEP, "name_token_set", "address_token_set")
+
+
+def score_quadrants(scored: DataFrame, high: float = 0.75, low: float = 0.50, name: str = "name_token_set", address: str = "address_token_set") -> DataFrame:
     """How many pairs have each of name and address high, between, or low."""
     band = lambda c: F.when(F.col(c) >= high, "high").when(F.col(c) < low, "low").otherwise("middle")
-    return scored.groupBy(band("name_score").alias("name_band"), band("address_score").alias("address_band")).agg(F.count(F.lit(1)).alias("pairs"))
+    return scored.groupBy(band(name).alias("name_band"), band(address).alias("address_band")).agg(F.count(F.lit(1)).alias("pairs"))
 
 
 def recovery_efficiency(pairs: DataFrame, gt_pair: DataFrame) -> DataFrame:

@@ -155,9 +155,13 @@ def _key_sql(blocker: str) -> str:
 def _candidate_sql(blockers=tuple(BLOCKER_BITS), cap: int = 100, parts: bool = False) -> str:
     """CTEs ending in cand: the fused candidates and their mask."""
     keys = "\nUNION ALL ".join(_key_sql(b) for b in blockers)
+    return f"{_base(parts)}, keys AS ({keys}\n), {_fused_sql(cap)}"
+
+
+def _fused_sql(cap: int) -> str:
+    """CTEs from keys to cand."""
     names = ", ".join(f"CASE WHEN mask & {BLOCKER_BITS[b]} <> 0 THEN '{b}' END" for b in sorted(BLOCKER_BITS))
-    return f"""{_base(parts)}, keys AS ({keys}
-), rare AS (
+    return f"""rare AS (
   SELECT src, bit, k1, k2 FROM keys WHERE src <> 'S1' GROUP BY ALL HAVING count(*) <= {cap}
 ), masks AS (
   SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, b.src AS candidate_source, bit_or(a.bit) AS mask
@@ -277,7 +281,23 @@ def single_and_composite_blocks(spark, sf):
     return blocking.fuse_candidate_pairs(frames)
 
 
-@_query("candidates_simple_variant")
+_R = [rf"trim(regexp_replace(strip_accents(lower({_strip(c)})), '[^a-z0-9]+', ' ', 'g'))" for c in ("business_name", "business_address", "country")]
+_SIMPLE = {
+    "name_exact": ("n", "''"), "address_exact": ("a", "''"), "name_country": ("n", "c"), "address_country": ("a", "c"), "name_token_country": ("ns", "c"),
+    "name_prefix_country": ("left(n, 8)", "c"), "address_token_country": ("as_", "c"), "address_prefix_country": ("left(a, 8)", "c"),
+}
+_SIMPLE_KEYS = " UNION ALL ".join(
+    f"SELECT entity_id, src, {BLOCKER_BITS[b]} AS bit, {k1} AS k1, {k2} AS k2 FROM g WHERE {k1} <> ''" + ("" if k2 == "''" else f" AND {k2} <> ''") for b, (k1, k2) in _SIMPLE.items()
+)
+
+
+@_query(
+    "candidates_simple_variant",
+    f"""WITH {_base()}, f AS (SELECT entity_id, src, {_R[0]} AS n, {_R[1]} AS a, {_R[2]} AS c FROM records
+), g AS (SELECT *, array_to_string(list_sort({_set("n")}), ' ') AS ns, array_to_string(list_sort({_set("a")}), ' ') AS as_ FROM f
+), keys AS ({_SIMPLE_KEYS}), {_fused_sql(100)}
+SELECT {_KEYS}, blocker_sources, num_blockers FROM cand""",
+)
 def candidates_simple_variant(spark, sf):
     return blocking.generate_simple_candidates(*adapters.three_sources(adapters.document_records(spark, sf)))
 
@@ -567,9 +587,23 @@ def recovered_candidates(spark, sf):
     return recovery.fuse_with_fuzzy(_candidates(spark, sf), recovery.recovered_candidates(recovery.classify_recovery(_recovery_pairs(spark, sf))))
 
 
-@_query("ngram_fuzzy_hits")
+def _three(x: str) -> str:
+    c = f"replace({x}, ' ', '')"
+    return f"CASE WHEN {c} = '' THEN [] WHEN length({c}) < 3 THEN [{c}] ELSE list_distinct(list_transform(range(1, length({c}) - 1), lambda i: substr({c}, i, 3))) END"
+
+
+def _gram_jaccard(a: str, b: str) -> str:
+    return f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0.0 ELSE len(list_intersect({a}, {b}))::DOUBLE / len(list_distinct(list_concat({a}, {b}))) END"
+
+
+_PLAIN = [rf"trim(regexp_replace(lower(regexp_replace(strip_accents({_strip(c)}), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', ' ', 'g'))" for c in ("business_name", "business_address", "country")]
+_GRAMS = f"""WITH {_candidate_sql(("name_token_pair_country", "address_token_pair_country"))}, r AS (SELECT entity_id, {_three(_PLAIN[0])} AS n, {_three(_PLAIN[1])} AS a, {_PLAIN[2]} AS c FROM records
+), hits AS (SELECT {_KEYS}, {_gram_jaccard("a.n", "b.n")} AS name_score, {_gram_jaccard("a.a", "b.a")} AS address_score, a.c = b.c AS country_match FROM cand JOIN r a ON a.entity_id = source1_entity_id JOIN r b ON b.entity_id = candidate_entity_id)"""
+
+
+@_query("ngram_fuzzy_hits", f"{_GRAMS} SELECT {_KEYS}, round(name_score, 6) AS name_score, round(address_score, 6) AS address_score, country_match, country_match AND (name_score >= 0.55 OR address_score >= 0.55) AS hit FROM hits")
 def ngram_fuzzy_hits(spark, sf):
-    return recovery.ngram_hits(_recovery_pairs(spark, sf)).select(*CANDIDATE_KEY, "name_score", "address_score", "country_match", "hit")
+    return _rounded(recovery.ngram_hits(_recovery_pairs(spark, sf)).select(*CANDIDATE_KEY, "name_score", "address_score", "country_match", "hit"))
 
 
 @_query("fuzzy_country_join")
@@ -579,7 +613,11 @@ def fuzzy_country_join(spark, sf):
     return recovery.fuzzy_pairs(s1, targets)
 
 
-@_query("fuzzy_threshold_sweep")
+@_query(
+    "fuzzy_threshold_sweep",
+    f"""{_GRAMS} SELECT t AS threshold, count(*) FILTER (WHERE name_score >= t) AS name_hits, count(*) FILTER (WHERE address_score >= t) AS address_hits, count(*) FILTER (WHERE name_score >= t OR address_score >= t) AS either_hits,
+  count(*) AS pairs FROM hits, (SELECT unnest({list(recovery.SWEEP)})::DOUBLE AS t) GROUP BY t""",
+)
 def fuzzy_threshold_sweep(spark, sf):
     return recovery.fuzzy_threshold_sweep(recovery.ngram_hits(_recovery_pairs(spark, sf)))
 
@@ -589,9 +627,26 @@ def score_quadrants(spark, sf):
     return recovery.score_quadrants(recovery.recovery_scores(_recovery_pairs(spark, sf)))
 
 
-@_query("recovery_efficiency")
+@_query("token_set_coverage")
+def token_set_coverage(spark, sf):
+    return recovery.token_set_coverage(recovery.recovery_scores(_recovery_pairs(spark, sf)))
+
+
+@_query(
+    "recovery_efficiency",
+    f"""{_CAND}{_TRUTH}, per AS (SELECT c.source1_entity_id, count(*) AS n, count(t.matched_id) AS hits FROM cand c LEFT JOIN truth t ON t.source1_entity_id = c.source1_entity_id AND t.matched_id = c.candidate_entity_id GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS candidates, CAST(sum(hits) AS BIGINT) AS recovered, round(quantile_cont(n::DOUBLE, 0.9), 6) AS p90, round(quantile_cont(n::DOUBLE, 0.95), 6) AS p95, round(quantile_cont(n::DOUBLE, 0.99), 6) AS p99,
+  round(sum(n) / nullif(sum(hits), 0), 6) AS candidates_per_recovery FROM per""",
+)
 def recovery_efficiency(spark, sf):
-    return recovery.recovery_efficiency(_candidates(spark, sf), _truth(spark, sf)[1])
+    return _rounded(recovery.recovery_efficiency(_candidates(spark, sf), _truth(spark, sf)[1]))
+
+
+@_query("unfused_counts", f"""WITH {_candidate_sql()}, bits(blocker, b) AS (VALUES {", ".join(f"('{n}', {b})" for n, b in BLOCKER_BITS.items())}) SELECT blocker, candidate_source, count(*) AS pairs FROM cand, bits WHERE mask & b <> 0 GROUP BY ALL""")
+def unfused_counts(spark, sf):
+    _, (s1, s2, s3) = _sources(spark, sf)
+    targets = s2.withColumn("source", F.lit("S2")).unionByName(s3.withColumn("source", F.lit("S3")))
+    return evaluation.unfused_counts(blocking.blocker_rows(s1, targets, BlockingConfig()))
 
 
 @_query("score_description")
