@@ -152,8 +152,9 @@ def ratio_expression(a: Column | str, b: Column | str) -> Column:
 
 def set_jaccard(a: Column, b: Column) -> Column:
     """Shared over all elements of two arrays without repeats; 0 if either is empty."""
-    shared, total = F.size(F.array_intersect(a, b)).cast("double"), F.size(F.array_union(a, b))
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(shared / total)
+    shared = F.size(F.array_intersect(a, b))
+    total = F.size(a) + F.size(b) - shared
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(shared.cast("double") / total)
 
 
 def token_jaccard(a: Column | str, b: Column | str) -> Column:

@@ -58,7 +58,8 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
     """Candidates with a score from built-in measures: the mean word Jaccard of name and address."""
     _, (s1, s2, s3) = _sources(spark, sf)
     met = FeatureEngineer().attach_records(s1, s2, s3, blocking.generate_candidate_pairs(s1, s2, s3))
-    mean = (similarity.token_jaccard("name_1", "name_2") + similarity.token_jaccard("address_1", "address_2")) / 2.0
+    one = lambda c: similarity.set_jaccard(F.col(f"{c}_set_1"), F.col(f"{c}_set_2"))
+    mean = (one("name") + one("address")) / 2.0
     return met.select(*CANDIDATE_KEY, F.round(mean, 6).alias("score"))
 
 
