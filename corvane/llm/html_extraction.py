@@ -72,7 +72,7 @@ BAD_TAGS = frozenset("nav header footer aside form fieldset button select textar
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tr td th figure figcaption".split())
 NAMES = [f"tag {t}" for t in TAGS] + [f"hint {h}" for h in HINTS] + ["hidden"]
 NAMES += [f"own {k}" for k in range(6)] + [f"links {k}" for k in range(4)] + [f"all {k}" for k in range(6)] + [f"all links {k}" for k in range(4)]
-NAMES += [f"sentences {k}" for k in range(3)] + [f"paragraphs {k}" for k in range(4)] + ["copyright", "bias"]
+NAMES += [f"sentences {k}" for k in range(3)] + [f"paragraphs {k}" for k in range(4)] + ["copyright", "bias", "alone", "under bad", "under good", "clean good", "own bad"]
 AT = {name: i for i, name in enumerate(NAMES)}
 KINDS = 16  # of edges: 4 kinds of parent (bad hint or tag, good hint or tag, text element, other) by 4 kinds of child
 
@@ -231,6 +231,13 @@ class Forest:
             bad = hidden or tag in BAD_TAGS or any(h != "good" for h in hints)
             kind[i] = 0 if bad else 1 if good else 2 if tag in TEXT_TAGS else 3
         self.kind = np.where(self.parent >= 0, 4 * kind[self.parent] + kind, kind)
+        bad, good = kind == 0, kind == 1
+        under_bad, under_good = np.zeros(n, bool), np.zeros(n, bool)
+        for level in self.levels[1:]:
+            up = self.parent[level]
+            under_bad[level] = under_bad[up] | bad[up]
+            under_good[level] = (under_good[up] | good[up]) & ~bad[up]
+        alone = np.repeat(np.array(sizes) == 1, sizes)
         everywhere = np.arange(n)
         some = np.flatnonzero(copied)
         parts = [
@@ -238,6 +245,9 @@ class Forest:
             (everywhere, AT["all links 0"] + share(all_links, every)), (everywhere, AT["sentences 0"] + np.minimum(marks, 2)),
             (everywhere, AT["paragraphs 0"] + np.minimum(paragraphs, 3)), (some, np.full(len(some), AT["copyright"])), (everywhere, np.full(n, AT["bias"])),
         ]
+        for name, flag in (("alone", alone), ("under bad", under_bad), ("under good", under_good & ~under_bad), ("clean good", good & ~under_bad), ("own bad", bad)):
+            at = np.flatnonzero(flag)
+            parts.append((at, np.full(len(at), AT[name])))
         self.node = np.concatenate([np.array(node, np.int64), *[a for a, _ in parts]])
         self.feature = np.concatenate([np.array(feature, np.int64), *[b for _, b in parts]])
         self.n = n

@@ -139,6 +139,10 @@ class Writer:
             inner.insert(r.randint(1, len(inner)), extra())
         if r.random() < 0.12:
             inner.append(self.comments())
+        if r.random() < 0.12:
+            inner.insert(0, self.element("header", self.element(self.one("h1", "h2", "p"), " ".join(self.words(1, 6)), 0) + self.one("", self.element("p", self.prose(2, 10), 0, self.one("", "byline", "meta"))), 0))
+        if r.random() < 0.12:
+            inner.append(self.element("footer", self.one(self.prose(1, 15), self.element("p", self.prose(1, 15), 0)), 0))
         body = self.one("", "\n").join(inner)
         if r.random() < 0.55:
             body = self.element("article", body, 1, self.one("", "", "", "post", "entry", "story"))
@@ -152,6 +156,8 @@ class Writer:
 
     def page(self) -> str:
         r = self.rng
+        if r.random() < 0.03:  # hardly a page: bare text, or a few blocks
+            return self.one(f'<html data-content="1">{self.prose(1, 80)}</html>', "".join(self.block() for _ in range(r.randint(1, 4))))
         above = [f() for f in (self.notice, self.header, self.menu, self.advert, self.form) if r.random() < 0.4]
         below = [f() for f in (self.comments, self.sidebar, self.sharing, self.advert, self.form, self.notice) if r.random() < 0.3]
         r.shuffle(above)

@@ -30,6 +30,20 @@ def test_a_page_by_hand(model):
     assert he.extract([PAGE], model) == [TEXT]
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<article><header><h1>T one</h1><p class=byline>By Ann</p></header><p>Body text goes here. More of it follows.</p><aside>Side note.</aside><div class=ad>Buy!</div><form>Sign up <button>Go</button></form><p>Last words.</p><footer>Filed under x</footer></article>", "Body text goes here. More of it follows. Last words."),
+        ("<article><h1>Head</h1><p>The article text is here, in one paragraph.</p><section id=comments><h3>Comments</h3><article class=comment><p>I think this is good, very good.</p></article></section></article>", "Head The article text is here, in one paragraph."),
+        ("<div class=notice role=alert>We changed our terms, please read them now.</div><article><p>Short.</p></article>", "Short."),
+        ("<div id=header>Site</div><div id=content><h2>Head line</h2><p>Some words here, and more.</p></div><div id=sidebar><p>See also this and that page, it is nice.</p></div><div id=footer>Copyright words</div>", "Head line Some words here, and more."),
+        ("plain text &amp; nothing else", "plain text & nothing else"),
+    ],
+)
+def test_more_pages(model, html, text):
+    assert he.extract([html], model) == [text]
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(4)
     page = he.Page('<body><div class="content"><p>a b c.<p>d</div><nav><a href=x>y</a></nav><h1>t</h1></body>')
