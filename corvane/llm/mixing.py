@@ -8,7 +8,7 @@ A target is then fitted exactly where the lengths allow it: every document is ta
 times, and for the rest a bounded knapsack chooses how many documents of each exact length to take once
 more. Lengths first get their even share, then longest first while they fit; the last words are fitted by
 dynamic programming over sums up to ``FIT``, with each length's remaining count as its bound. Which documents
-of a length are taken is decided by a seeded hash of their id.
+of a length are taken is decided by a seeded hash of id and text.
 
 Only counts by (source, length) are gathered, one task per source; documents never are. Ranks within a length
 come from hash ranges counted first, so a length that holds a large share of all rows spreads over many tasks.
@@ -155,7 +155,7 @@ def mix_sources(
     seed: int = SEED,
 ) -> DataFrame:
     """(key, size, source_size, target, taken) per row; taken is size times the number of times it is taken. Eager."""
-    rank = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
+    rank = F.xxhash64(F.col(key).cast("string"), F.col(text_col), F.lit(seed))
     rows = docs.select(F.col(key).alias("id"), source_key(F.col(source_col)).alias("src"), text_size(F.col(text_col)).alias("size"), rank.alias("rank"))
     rows = cut(rows.withColumn("range", F.pmod("rank", F.lit(RANGES)).cast("int")))
     by_range = cut(rows.groupBy("src", "size", "range").agg(F.count(F.lit(1)).alias("n")))
