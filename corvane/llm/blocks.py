@@ -2,7 +2,7 @@
 
 Some operators need, for every key that occurs in a text (a word, an n-gram, an anchor of a repeat), a figure
 over all texts. Sending a row per key occurrence would multiply the input. Here documents are dealt to blocks of
-a few MB by a hash of their id; a block sends each distinct key once, as sorted 64-bit hashes cut into buckets
+a few MB by a hash of id and text (many null ids do not meet in one block); a block sends each distinct key once, as sorted 64-bit hashes cut into buckets
 by their leading bits; a bucket sees every block's keys of its range and answers each block in the same order.
 A key that a third of all documents hold costs one entry a block, wherever it lands.
 
@@ -46,7 +46,7 @@ def deal(docs: DataFrame, keys: Sequence[str], text_col: str, block_bytes: int |
     blocks = max(1, -(-total // block))
     bits = max(1, (total // (block_bytes or bucket)).bit_length())
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    dealt = F.pmod(F.xxhash64(F.col(keys[0])), F.lit(blocks)).cast("int").alias("_block")
+    dealt = F.pmod(F.xxhash64(F.col(keys[0]), text), F.lit(blocks)).cast("int").alias("_block")
     return Dealt(docs.select(dealt, *named, text.alias("_text"), *[c.alias(n) for n, c in extra.items()]), blocks, bits)
 
 
@@ -88,6 +88,17 @@ def unpack(data: bytes, dtype) -> np.ndarray:
     return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size else b"", dtype)
 
 
+def pack_sorted(hashes: np.ndarray) -> bytes:
+    """Sorted hashes as differences, byte plane by byte plane: the leading planes are empty and compress away."""
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    return pack(steps.view(np.uint8).reshape(-1, 8).T)
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    planes = unpack(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def cut_evenly(total: int, sizes: Sequence[int]) -> Iterator[slice]:
     """Consecutive slices of the given sizes."""
     at = 0

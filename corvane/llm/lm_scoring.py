@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.blocks import bucket_bounds, cut_evenly, deal, in_order, pack, pair_hash, unpack
+from corvane.llm.blocks import bucket_bounds, cut_evenly, deal, in_order, pack, pack_sorted, pair_hash, unpack, unpack_sorted
 
 MU = 8.0
 END, START = b"\n", b"\t"  # never words
@@ -104,9 +104,9 @@ def _ask(bits: int):
         return pa.table({
             "bucket": pa.array(range(n), pa.int32()),
             "block": pa.array([block] * n, pa.int32()),
-            "words": pa.array([own.words[w[b] : w[b + 1]].tobytes() for b in range(n)], pa.binary()),
+            "words": pa.array([pack_sorted(own.words[w[b] : w[b + 1]]) for b in range(n)], pa.binary()),
             "word_counts": pa.array([pack(own.word_counts[w[b] : w[b + 1]]) for b in range(n)], pa.binary()),
-            "pairs": pa.array([own.pairs[p[b] : p[b + 1]].tobytes() for b in range(n)], pa.binary()),
+            "pairs": pa.array([pack_sorted(own.pairs[p[b] : p[b + 1]]) for b in range(n)], pa.binary()),
             "pair_counts": pa.array([pack(own.pair_counts[p[b] : p[b + 1]]) for b in range(n)], pa.binary()),
         })
 
@@ -115,7 +115,7 @@ def _ask(bits: int):
 
 def _totals(keys: list[bytes], counts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     """For each block's keys their counts over all blocks; and the total of each distinct key."""
-    sent = [np.frombuffer(k, np.uint64) for k in keys]
+    sent = [unpack_sorted(k) for k in keys]
     every = np.concatenate(sent) if sent else np.zeros(0, np.uint64)
     _, at = np.unique(every, return_inverse=True)
     own = np.concatenate([unpack(c, np.int64) for c in counts]) if counts else np.zeros(0, np.int64)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.blocks import MULTIPLY, bucket_bounds, cut_evenly, deal, in_order, mix, pack, unpack
+from corvane.llm.blocks import MULTIPLY, bucket_bounds, cut_evenly, deal, in_order, mix, pack, pack_sorted, unpack, unpack_sorted
 
 LENGTH = 50
 GRAM = 16
@@ -277,7 +277,7 @@ def _ask(bits: int, length: int):
         some = [i for i in range(1 << bits) if b[i] < b[i + 1]]
         return pa.table({
             "bucket": pa.array(some, pa.int32()), "block": pa.array([block] * len(some), pa.int32()),
-            "keys": pa.array([own.anchors[b[i] : b[i + 1]].tobytes() for i in some], pa.binary()),
+            "keys": pa.array([pack_sorted(own.anchors[b[i] : b[i + 1]]) for i in some], pa.binary()),
             "info": pa.array([pack(info[b[i] : b[i + 1]]) for i in some], pa.binary()),
         })
 
@@ -286,7 +286,7 @@ def _ask(bits: int, length: int):
 
 def _flag(hot: int):
     def run(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
+        keys = [unpack_sorted(k) for k in table.column("keys").to_pylist()]
         info = np.concatenate([unpack(x, np.int64) for x in table.column("info").to_pylist()])
         _, at = np.unique(np.concatenate(keys), return_inverse=True)
         blocks = np.bincount(at)
