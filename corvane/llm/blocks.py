@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEAST_BLOCK, LARGEST_BLOCK = 4 << 20, 64 << 20
-LEAST_BUCKET, LARGEST_BUCKET = 8 << 20, 256 << 20
+LEAST_BLOCK, LARGEST_BLOCK = 4 << 20, 16 << 20  # bytes of text; a task needs about 20 times as much memory
+LEAST_BUCKET, LARGEST_BUCKET = 8 << 20, 32 << 20  # bytes of all texts over the number of buckets
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -33,8 +33,8 @@ class Dealt:
     bits: int
 
 
-def deal(docs: DataFrame, keys: Sequence[str], text_col: str, block_bytes: int | None = None, **extra) -> Dealt:
-    """Deal documents to blocks. Both block and bucket sizes grow with the root of the input up to a task's memory.
+def deal(docs: DataFrame, keys: Sequence[str], text_col: str, block_bytes: int | None = None, largest_bucket: int = LARGEST_BUCKET, **extra) -> Dealt:
+    """Deal documents to blocks. Both block and bucket sizes grow with the root of the input up to what a task can hold.
 
     ``extra``: further columns to carry, by name. The driver gets one number, the bytes of all texts.
     """
@@ -42,7 +42,7 @@ def deal(docs: DataFrame, keys: Sequence[str], text_col: str, block_bytes: int |
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     root = total**0.5
     block = block_bytes or min(LARGEST_BLOCK, max(LEAST_BLOCK, int(136 * root)))
-    bucket = min(LARGEST_BUCKET, max(LEAST_BUCKET, int(272 * root)))
+    bucket = min(largest_bucket, max(LEAST_BUCKET, int(272 * root)))
     blocks = max(1, -(-total // block))
     bits = max(1, (total // (block_bytes or bucket)).bit_length())
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]

@@ -39,6 +39,7 @@ from corvane.llm.blocks import MULTIPLY, bucket_bounds, cut_evenly, deal, in_ord
 LENGTH = 50
 GRAM = 16
 HOT = 20_000
+LARGEST_BUCKET = 16 << 20  # a bucket's suffix array takes about 20 times its segments' bytes
 STEP = 1 << 16  # window starts worked on at a time
 LAST_ID = np.iinfo(np.int64).max
 
@@ -392,7 +393,10 @@ def _remove(keys: int, length: int, whole: bool):
             earlier = least[at] < np.repeat(own.ids[doc], each)
             a = (np.repeat(start, each) + offset[at])[earlier]
             b = a + size[at][earlier]
-            covered = np.cumsum(np.bincount(a, minlength=n + 1) - np.bincount(b, minlength=n + 1))[:n] > 0
+            steps = np.zeros(n + 1, np.int32)
+            np.add.at(steps, a, 1)
+            np.subtract.at(steps, b, 1)
+            covered = np.cumsum(steps, out=steps)[:n] > 0
         if whole:
             covered = whole_characters(own.buf, covered)
         ends = own.starts + own.sizes
@@ -431,7 +435,7 @@ def suffix_dedup(
 
     kept is null for a null text. ``whole_characters``: characters that would lose some of their bytes stay whole.
     """
-    dealt = deal(docs, keys, text_col, block_bytes)
+    dealt = deal(docs, keys, text_col, block_bytes, LARGEST_BUCKET)
     blocks = lambda: dealt.docs.groupBy("_block")
     asked = blocks().applyInArrow(_ask(dealt.bits, length), ASKED)
     flags = asked.groupBy("bucket").applyInArrow(_flag(hot), FLAGS)
