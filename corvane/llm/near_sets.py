@@ -1,0 +1,216 @@
+"""Near-duplicates by the Jaccard similarity of word-shingle sets: an exact set-similarity join.
+
+A text's A-Z are lower-cased, its words are runs without ASCII white space, and its set holds the XXH64 of every
+``SHINGLE``-word shingle. A text of fewer words is one shingle; texts without words share the empty set. Two sets
+are linked if their Jaccard similarity is at least 4/5; equal sets are one node.
+
+Prefix filter: in any one order of all shingles, two sets of n and m that reach 4/5 share a shingle among the first
+n - ceil(4n/5) + 1 of the one and the first m - ceil(4m/5) + 1 of the other; so no pair is lost. The order puts
+shingles that are common in a sample last, which bears on speed only. How many shingles two prefixes share bounds the
+overlap from above, and what the bound leaves is verified on the whole sets.
+
+Buckets of over ``MAX_BUCKET`` sets are linked to one of their members first. Sets that this joins need not meet
+again, since only components matter; all other pairs of the bucket are still made.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corvane.llm.common import cut, map_texts
+from corvane.llm.components import connected_components
+
+SHINGLE = 5
+MAX_BUCKET = 64
+SEED = 42
+#: One text in so many is sampled for common shingles; how often one must occur there; how many are held.
+SAMPLE, COMMON, MOST = 16, 4, 500_000
+
+
+def shingle_set(text: bytes | None, k: int = SHINGLE) -> np.ndarray:
+    """The sorted distinct hashes of a UTF-8 text's shingles."""
+    words = (text or b"").lower().split()
+    n = len(words)
+    if not n:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
+    k = min(k, n)
+    starts = [0, *(ends[: n - k] + 1).tolist()]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :].tolist(), strict=True)), np.uint64, n - k + 1))
+
+
+def prefix_size(n: int) -> int:
+    return n + (-4 * n // 5) + 1 if n else 0  # n - ceil(4n/5) + 1
+
+
+def _common(docs: DataFrame, text_col: str) -> np.ndarray:
+    """Sorted hashes that occur in ``COMMON`` sampled texts or more, the ``MOST`` most frequent."""
+
+    def make():
+        return lambda texts: {"h": pa.array([shingle_set(t).view(np.int64) for t in texts], pa.list_(pa.int64()))}
+
+    some = docs.filter(F.abs(F.xxhash64(text_col) % SAMPLE) == 0).select(F.lit(0).alias("any"), text_col)
+    counted = map_texts(some, ["any"], text_col, make, "h array<long>").select(F.explode("h").alias("h")).groupBy("h").count().filter(F.col("count") >= COMMON)
+    found = counted.orderBy(F.desc("count"), "h").limit(MOST).select("h").toArrow()
+    return np.sort(found.column(0).to_numpy().view(np.uint64))
+
+
+def _describe(docs: DataFrame, keys: list[str], text_col: str, common: np.ndarray) -> DataFrame:
+    """``keys``, node (a hash of the whole set), n (its size) and prefix per row."""
+    held = docs.sparkSession.sparkContext.broadcast(common)
+
+    def make():
+        common = held.value
+
+        def compute(texts):
+            node, size, prefix = [], [], []
+            for t in texts:
+                s = shingle_set(t)
+                node.append(xxhash.xxh64_intdigest(s.tobytes(), SEED))
+                size.append(len(s))
+                p = prefix_size(len(s))
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+                    late = common[at] == s
+                    s = np.concatenate([s[~late], s[late]])
+                prefix.append(s[:p].view(np.int64))
+            return {"node": pa.array(np.array(node, np.uint64).view(np.int64)), "n": pa.array(size, pa.int32()), "prefix": pa.array(prefix, pa.list_(pa.int64()))}
+
+        return compute
+
+    return map_texts(docs, keys, text_col, make, "node long, n int, prefix array<long>")
+
+
+def _pairs_of(node: np.ndarray, n: np.ndarray, comp: np.ndarray, bucket: np.ndarray, stars: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of the pairs of whole buckets; stars: of buckets over ``MAX_BUCKET`` each with the first of its size, only."""
+    fits = lambda i, j: i_j_fit(n[i], n[j]) & (comp[i] != comp[j])
+    new = np.flatnonzero(np.diff(bucket, prepend=-1))
+    sizes = np.diff(np.append(new, len(bucket)))
+    large = sizes > MAX_BUCKET
+    if stars:
+        for s, m in zip(new[large], sizes[large], strict=True):
+            j = np.arange(s + 1, s + m)
+            left = np.full(len(j), s)
+            while len(j):  # rows come by size: who is too large for a centre gets the next one
+                ok = i_j_fit(n[left], n[j])
+                yield left[ok], j[ok]
+                j = j[~ok]
+                left, j = (np.full(len(j) - 1, j[0]), j[1:]) if len(j) else (j, j)
+        return
+    small = np.repeat(~large, sizes)
+    for d in range(1, int(sizes[~large].max(initial=1))):
+        i = np.flatnonzero((bucket[:-d] == bucket[d:]) & small[:-d])
+        ok = fits(i, i + d)
+        yield i[ok], i[ok] + d
+    for s, m in zip(new[large], sizes[large], strict=True):
+        if (comp[s : s + m] == comp[s]).all():
+            continue
+        for r in range(s, s + m):
+            j = np.arange(r + 1, s + m)
+            j = j[fits(np.full(len(j), r), j)]
+            yield np.full(len(j), r), j
+
+
+def i_j_fit(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether sizes allow a similarity of 4/5."""
+    return 5 * np.minimum(n, m).astype(np.int64) >= 4 * np.maximum(n, m).astype(np.int64)
+
+
+def _met(members: DataFrame, stars: bool) -> DataFrame:
+    """(a, na, b, nb) of each meeting of two sets in a bucket. members: h, n, node, comp."""
+    names = ["h", "n", "node", "comp"]
+    dealt = members.select(*names).repartition("h").sortWithinPartitions("h", "n", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+
+        def out(table):
+            h, n, node, comp = (table.column(c).to_numpy() for c in names)
+            bucket = np.concatenate([[0], np.cumsum(h[1:] != h[:-1])])
+            held, count = [], 0
+            for i, j in _pairs_of(node, n, comp, bucket, stars):
+                held.append((i, j))
+                count += len(i)
+                if count >= 1 << 18:
+                    yield batch_of(held, n, node)
+                    held, count = [], 0
+            if count:
+                yield batch_of(held, n, node)
+
+        def batch_of(held, n, node):
+            i, j = (np.concatenate([x[s] for x in held]) for s in (0, 1))
+            swap = node[i] > node[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (node[i], n[i], node[j], n[j])], names=["a", "na", "b", "nb"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+            h = table.column("h").to_numpy()
+            other = np.flatnonzero(h != h[-1])
+            whole = int(other[-1]) + 1 if len(other) else 0  # the last bucket may go on in the next batch
+            if whole:
+                yield from out(table.slice(0, whole).combine_chunks())
+            rest = table.slice(whole)
+        if rest is not None and rest.num_rows:
+            yield from out(rest.combine_chunks())
+
+    return dealt.mapInArrow(run, "a long, na int, b long, nb int")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, row: str, text_col: str) -> DataFrame:
+    """The (a, b) of ``pairs`` whose whole sets reach 4/5."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    rows = nodes.join(wanted, "node", "left_semi").select(F.col("row").alias(row))
+
+    def make():
+        def compute(texts):
+            sets = [shingle_set(t) for t in texts]
+            node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64)
+            return {"node": pa.array(node.view(np.int64)), "set": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))}
+
+        return compute
+
+    sets = cut(map_texts(docs.join(rows, row, "left_semi"), [row], text_col, make, "node long, set array<long>").select("node", "set"))
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    return both.filter(9 * shared >= 4 * (F.size("set_a") + F.size("set_b"))).select("a", "b")
+
+
+def jaccard_components(docs: DataFrame, keys: list[str], row: str, text_col: str = "text") -> DataFrame:
+    """``keys`` and root (a long that tells components apart) per row. Eager.
+
+    ``row``: one of the keys, unique, with the same value however often ``docs`` is read.
+    """
+    rows = cut(_describe(docs, keys, text_col, _common(docs, text_col)))
+    nodes = cut(rows.groupBy("node").agg(F.min(row).alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
+    members = nodes.select("node", "n", F.explode("prefix").alias("h"))
+    alone = members.withColumn("comp", F.col("node"))
+    stars = cut(_met(alone, stars=True).select("a", "b").distinct())
+    links, known = None, alone
+    if stars.limit(1).count():
+        links = cut(_verified(stars, docs, nodes, row, text_col))
+        roots = connected_components(links, "a", "b")
+        known = members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    met = _met(known, stars=False).groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("shared"))
+    after = lambda n: F.floor(4 * F.col(n) / 5 + 0.9).cast("int") - 1  # noqa: E731  # what a prefix leaves: ceil(4n/5) - 1
+    least = F.ceil(4 * (F.col("na") + F.col("nb")) / F.lit(9) - 1e-9) - F.greatest(after("na"), after("nb"))
+    pairs = cut(met.filter(F.col("shared") >= least).select("a", "b"))
+    if pairs.limit(1).count():
+        found = _verified(pairs, docs, nodes, row, text_col)
+        links = found if links is None else links.union(found)
+    if links is None:
+        return rows.select(*keys, F.col("node").alias("root"))
+    roots = connected_components(links, "a", "b")
+    return rows.join(roots, "node", "left").select(*keys, F.coalesce("root", "node").alias("root"))

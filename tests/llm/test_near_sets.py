@@ -1,0 +1,67 @@
+"""The exact set-similarity join against all pairs, and the pipeline stage on copies with edited words."""
+
+import random
+from itertools import combinations
+
+import pytest
+
+import corpus_pipeline
+from corvane.llm import near_sets
+
+
+def plain_set(text, k=5):
+    words = (text or "").lower().split()
+    return {" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def plain_roots(texts):
+    sets, parent = [plain_set(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        a, b = sets[i], sets[j]
+        if a == b or 5 * len(a & b) >= 4 * len(a | b):
+            parent[find(j)] = find(i)
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 5)))
+    line = " ".join(word() for _ in range(12))
+    out = [None, "", " ", "one two", "One  two", "a b c d e", "a b c d e f"]
+    for _ in range(40):
+        base = [word() for _ in range(rng.randint(30, 300))]
+        out.append(" ".join(base))
+        for _ in range(rng.randint(0, 3)):  # copies around 4/5, with words edited at the end or anywhere
+            copy, n = list(base), max(1, len(base) // rng.choice([9, 20, 40, 100]))
+            for at in range(len(copy) - n, len(copy)) if rng.random() < 0.5 else rng.sample(range(len(copy)), n // 3 + 1):
+                copy[at] = word()
+            out.append(" ".join(copy) + (" " + line) * rng.randint(0, 1))
+    return out
+
+
+@pytest.mark.parametrize("bucket", [64, 2])
+def test_components_are_those_of_all_pairs(spark, texts, bucket, monkeypatch):
+    monkeypatch.setattr(near_sets, "MAX_BUCKET", bucket)
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    got = {r["i"]: r["root"] for r in near_sets.jaccard_components(df, ["i"], "i").collect()}
+    want = plain_roots(texts)
+    assert len(got) == len(texts) and 45 < len(set(want)) < len(texts) - 10
+    assert len(set(zip(want, (got[i] for i in range(len(texts))), strict=True))) == len(set(want)) == len(set(got.values()))
+
+
+def test_the_stage_takes_copies_with_edited_words(spark):
+    rng = random.Random(6)
+    docs = []
+    for i in range(40):
+        base = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(200)]
+        edited = [*base[:-18], *["".join(rng.choices("mnopqr", k=6)) for _ in range(18)]]  # similarity 178 / 214
+        docs += [(2 * i, " ".join(base), "en", "a", 0), (2 * i + 1, " ".join(edited), "en", "a", 0)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, "").collect()) == list(range(0, 80, 2))
