@@ -2,7 +2,9 @@
 
 A turn whose text is a JSON object with an array ``tool_calls`` makes calls: objects with ``id``, ``name``,
 ``arguments`` (an object) and optionally ``depends_on`` (ids of other calls). A turn whose text is a JSON
-object with ``tool_call_id`` is a result. Every other turn is a message.
+object with ``tool_call_id`` is a result, and makes its calls too if it has any. Every other turn is a message, with
+empty ``tool_calls`` as well; a turn with calls, no result and other fields (text beside the calls) is a message besides,
+with its whole text.
 
 Results are hash-joined to calls by conversation and identifier. An identifier is used by the first call of a
 conversation that bears it; later calls with it are ``duplicate_id``. Calls are put in topological order by
@@ -112,7 +114,9 @@ def format_turns(turns: DataFrame, schemas: DataFrame | None = None) -> DataFram
     calls_of = F.try_variant_get("body", "$.tool_calls", "array<variant>")
     result_of = F.try_variant_get("body", "$.tool_call_id", "string")
     kinds = parsed.withColumn("_calls", calls_of).withColumn("_result", result_of)
-    messages = kinds.filter(F.isnull("_calls") & F.isnull("_result"))
+    fields = F.map_keys(F.try_variant_get("body", "$", "map<string,variant>"))
+    beside = F.coalesce(F.size(F.array_remove(fields, "tool_calls")) > 0, F.lit(False))
+    messages = kinds.filter(F.isnull("_result") & (F.isnull("_calls") | (F.size("_calls") == 0) | beside))
     nothing = [F.lit(None).cast("string").alias("call_id"), F.lit(None).cast("long").alias("linked_turn")]
     plain = messages.select(
         "conv_id", "turn", F.lit("message").alias("kind"), *nothing, F.lit("message").alias("status"),
@@ -123,7 +127,7 @@ def format_turns(turns: DataFrame, schemas: DataFrame | None = None) -> DataFram
     if tools.limit(1).count() == 0:  # nothing to link
         return plain
     again = tools.withColumn("body", F.parse_json("json"))
-    each = again.filter(F.isnull("_result")).select("conv_id", "turn", "role", F.posexplode(F.try_variant_get("body", "$.tool_calls", "array<variant>")).alias("at", "call"))
+    each = again.select("conv_id", "turn", "role", F.posexplode(F.try_variant_get("body", "$.tool_calls", "array<variant>")).alias("at", "call"))
     calls = each.select(
         "conv_id", "turn", "at", "role",
         F.try_variant_get("call", "$.id", "string").alias("id"), F.try_variant_get("call", "$.name", "string").alias("name"),
