@@ -2,11 +2,17 @@
 
 Fingerprint: a text's A-Z are lower-cased, its words are runs without ASCII white space, and every k-word
 shingle (repeats included) votes on 64 bits with its XXH64, seed 42. Texts of fewer words are one shingle;
-texts without words have fingerprint zero and link like any other.
+texts without words have fingerprint zero and link like any other. With ``parts`` over 1 a fingerprint has that many
+times 64 bits; the hashes of later parts are mixed from the first.
 
-Covering: bit i gets a non-zero vector m(i) of radius+1 bits. Table v (each non-zero vector) keeps the bits
-with odd m(i).v. Two fingerprints that differ in at most ``radius`` bits agree on every bit of some table,
-because that many vectors cannot span all of the space; so no pair within the radius is lost.
+Covering, part by part: bit i gets a non-zero vector m(i) of radius+1 bits. Table v (each non-zero vector) keeps the
+bits with odd m(i).v. Two parts that differ in at most ``radius`` bits agree on every bit of some table, because that
+many vectors cannot span all of the space; so no pair within the radius in any of its parts is lost. Pairs that meet
+in a table link if they differ in at most ``max_distance`` bits of the whole fingerprint. With one part and
+max_distance = radius that is exactly the pairs within the radius.
+
+A similarity of s (Jaccard, of shingle sets) makes two fingerprints differ in about arccos(2s / (1 + s)) / pi of their
+bits: ``expected_distance``. Far pairs meet by chance only, so for similarities well below the radius some are lost.
 
 Distinct fingerprints are the nodes, so exact copies never meet in a bucket. A bucket of over ``MAX_BUCKET``
 fingerprints is split by a second covering over the bits its table left free, which keeps the guarantee and
@@ -18,14 +24,16 @@ component_id is the smallest id reachable (nulls ignored; null if all are null).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.blocks import MULTIPLY, mix
 from corvane.llm.common import cut, map_texts
 from corvane.llm.components import connected_components
 
@@ -35,36 +43,54 @@ MAX_BUCKET = 2048
 SEED = 42
 
 
-def fingerprint(text: bytes | None, k: int = SHINGLE) -> int:
-    """The 64-bit SimHash of a UTF-8 text, unsigned."""
+def shingle_hashes(text: bytes | None, k: int = SHINGLE) -> np.ndarray:
+    """The XXH64 of every k-word shingle of a UTF-8 text, repeats included."""
     words = (text or b"").lower().split()
     n = len(words)
     if not n:
-        return 0
-    if n <= k:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
+    if n <= k:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
     starts = [0, *(ends[: n - k] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :].tolist(), strict=True)), np.uint64, n - k + 1)
-    votes = np.zeros(64, np.int64)
+    return np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :].tolist(), strict=True)), np.uint64, n - k + 1)
+
+
+def fingerprint(text: bytes | None, k: int = SHINGLE, parts: int = 1) -> np.ndarray:
+    """The SimHash of a UTF-8 text: ``parts`` unsigned 64-bit values."""
+    hashes = shingle_hashes(text, k)
+    votes = np.zeros((parts, 64), np.int64)
     for at in range(0, len(hashes), 1 << 15):  # bounded memory for very long texts
-        bits = np.unpackbits(hashes[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        votes += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+        some = hashes[at : at + (1 << 15)]
+        for p in range(parts):
+            values = some if p == 0 else mix(some + np.uint64(p * int(MULTIPLY[0]) % (1 << 64)))
+            votes[p] += np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(votes * 2 > len(hashes), axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def expected_distance(similarity: float, bits: int) -> int:
+    """How many of ``bits`` differ, on average, between texts whose shingle sets have this Jaccard similarity."""
+    return round(math.acos(2 * similarity / (1 + similarity)) / math.pi * bits)
+
+
+def part_names(parts: int) -> list[str]:
+    return [f"fp{p}" for p in range(parts)]
 
 
-def fingerprints(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """``keys`` and fp (the fingerprint as a signed long) per row."""
+def fingerprints(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text_col: str = "text", k: int = SHINGLE, parts: int = 1) -> DataFrame:
+    """``keys`` and the fingerprint's parts fp0.. (signed longs) per row."""
+    names = part_names(parts)
 
     def make():
         def compute(texts):
-            return {"fp": pa.array(np.array([fingerprint(t, k) for t in texts], np.uint64).view(np.int64))}
+            found = np.array([fingerprint(t, k, parts) for t in texts], np.uint64).reshape(-1, parts).view(np.int64)
+            return {c: pa.array(np.ascontiguousarray(found[:, p])) for p, c in enumerate(names)}
 
         return compute
 
-    return map_texts(docs, keys, text_col, make, "fp long")
+    return map_texts(docs, keys, text_col, make, ", ".join(f"{c} long" for c in names))
 
 
 def covering_masks(bits: Sequence[int], radius: int) -> list[int]:
@@ -93,8 +119,13 @@ def _labels_of_pairs(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def bucket_links(fps: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (fingerprint, star centre) of fingerprints in whole buckets; rows of a bucket stand together."""
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, whose parts lie along the last axis."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32)
+
+
+def bucket_links(fps: np.ndarray, bucket: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (row, star centre) of the rows of ``fps`` (one fingerprint each) in whole buckets, which stand together."""
     n = len(fps)
     new = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1) != 0) if n else np.zeros(0, int)
     sizes = np.diff(np.append(new, n))
@@ -102,7 +133,7 @@ def bucket_links(fps: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[np.n
     small = np.repeat(sizes <= 64, sizes)
     for d in range(1, int(min(64, sizes.max(initial=1)))):
         i = np.flatnonzero((bucket[:-d] == bucket[d:]) & small[:-d])
-        i = i[np.bitwise_count(fps[i] ^ fps[i + d]) <= radius]
+        i = i[_distance(fps[i], fps[i + d]) <= most]
         left.append(i)
         right.append(i + d)
     for s, m in zip(new[sizes > 64], sizes[sizes > 64], strict=True):
@@ -111,7 +142,7 @@ def bucket_links(fps: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[np.n
         while True:  # smallest label among neighbours, a block of rows at a time
             low = label.copy()
             for r in range(0, m, 256):
-                near = np.bitwise_count(part[r : r + 256, None] ^ part[None, :]) <= radius
+                near = _distance(part[r : r + 256, None], part[None, :]) <= most
                 low[r : r + 256] = np.where(near, low[None, :], m).min(axis=1)
             low = low[low]
             if (low == label).all():
@@ -121,49 +152,56 @@ def bucket_links(fps: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[np.n
         left.append(s + label[i])
         right.append(s + i)
     if not left:
-        return fps[:0], fps[:0]
+        return np.zeros(0, int), np.zeros(0, int)
     label = _labels_of_pairs(n, np.concatenate(left), np.concatenate(right))
     i = np.flatnonzero(label != np.arange(n))
-    return fps[i], fps[label[i]]
-
-
-def near_links(nodes: DataFrame, radius: int = RADIUS, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs of distinct ``fp`` within the radius."""
-    masks = covering_masks(range(64), radius)
-    fp = F.col("fp")
-    tables = F.array(*[F.struct(F.lit(v).alias("v"), fp.bitwiseAND(F.lit(_signed(m))).alias("key")) for v, m in enumerate(masks)])
-    rows = nodes.select("fp", F.inline(tables))
-    counts = cut(rows.groupBy("v", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    met = rows.join(counts, ["v", "key"])
-    none = [F.lit(-1).alias("u"), F.lit(0).cast("long").alias("key2")]
-    members = met.filter(F.col("n") <= max_bucket).select("v", "key", *none, "fp")
+    return i, label[i]
+
+
+def _tables(parts: int, masks: Sequence[int]) -> Column:
+    """(t, h) per table: its number and the hash of the bits it keeps. Chance collisions only make more pairs meet."""
+    kept = lambda p, m: F.col(f"fp{p}").bitwiseAND(F.lit(_signed(m)))
+    numbered = [(p * len(masks) + v, kept(p, m)) for p in range(parts) for v, m in enumerate(masks)]
+    return F.inline(F.array(*[F.struct(F.lit(t).alias("t"), F.xxhash64(F.lit(t), key).alias("h")) for t, key in numbered]))
+
+
+def near_links(nodes: DataFrame, parts: int = 1, radius: int = RADIUS, max_distance: int | None = None, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """Links (a, b) of ``node``s whose components are those of all pairs that meet in a table and link.
+
+    ``nodes``: a distinct long ``node`` and the parts fp0.. of its fingerprint.
+    """
+    most = radius if max_distance is None else max_distance
+    masks, names = covering_masks(range(64), radius), part_names(parts)
+    rows = nodes.select("node", _tables(parts, masks))
+    counts = cut(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    met = rows.select("h", "node").join(counts.filter(F.col("n") <= max_bucket).select("h"), "h")
+    members = met.join(nodes, "node").select("h", "node", *names)
     if counts.filter(F.col("n") > max_bucket).limit(1).count():
         free = [[b for b in range(64) if not m >> b & 1] for m in masks]
-        second = [(v, u, _signed(m)) for v, bits in enumerate(free) for u, m in enumerate(covering_masks(bits, radius))]
-        table = nodes.sparkSession.createDataFrame(second, "v int, u int, mask long")  # (2**(radius+1)-1)**2 rows
-        hot = met.filter(F.col("n") > max_bucket).join(F.broadcast(table), "v")
-        members = members.union(hot.select("v", "key", "u", fp.bitwiseAND(F.col("mask")).alias("key2"), "fp"))
-    names = ["v", "key", "u", "key2"]
-    dealt = members.repartition(*names).sortWithinPartitions(*names)
+        second = [(p * len(masks) + v, p, u, _signed(m)) for p in range(parts) for v, bits in enumerate(free) for u, m in enumerate(covering_masks(bits, radius))]
+        table = nodes.sparkSession.createDataFrame(second, "t int, part int, u int, mask long")  # parts * (2**(radius+1)-1)**2 rows
+        hot = rows.join(counts.filter(F.col("n") > max_bucket).select("h"), "h").join(nodes, "node").join(F.broadcast(table), "t")
+        part = F.element_at(F.array(*names), F.col("part") + 1)
+        members = members.union(hot.select(F.xxhash64("h", "u", part.bitwiseAND(F.col("mask"))).alias("h"), "node", *names))
+    dealt = members.repartition("h").sortWithinPartitions("h")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
 
         def out(table):
-            ids = np.stack([table.column(c).to_numpy().astype(np.int64) for c in names])
-            step = np.any(np.diff(ids, axis=1) != 0, axis=0)
-            bucket = np.concatenate([[0], np.cumsum(step)]) if ids.shape[1] else np.zeros(0, int)
-            a, b = bucket_links(table.column("fp").to_numpy().view(np.uint64), bucket, radius)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+            h, node = (table.column(c).to_numpy() for c in ("h", "node"))
+            bucket = np.concatenate([[0], np.cumsum(h[1:] != h[:-1])])
+            a, b = bucket_links(np.column_stack([table.column(c).to_numpy().view(np.uint64) for c in names]), bucket, most)
+            return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
             table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
-            ids = np.stack([table.column(c).to_numpy().astype(np.int64) for c in names])
-            last = np.flatnonzero(np.any(ids != ids[:, -1:], axis=0))
-            whole = int(last[-1]) + 1 if len(last) else 0  # the last bucket may go on in the next batch
+            h = table.column("h").to_numpy()
+            other = np.flatnonzero(h != h[-1])
+            whole = int(other[-1]) + 1 if len(other) else 0  # the last bucket may go on in the next batch
             if whole:
                 yield out(table.slice(0, whole).combine_chunks())
             rest = table.slice(whole)
@@ -179,20 +217,24 @@ def simhash_components(
     text_col: str = "text",
     k: int = SHINGLE,
     radius: int = RADIUS,
+    parts: int = 1,
+    max_distance: int | None = None,
     max_bucket: int = MAX_BUCKET,
 ) -> DataFrame:
-    """``keys`` (the first is the id), fingerprint (16 hex digits), component_id and root per row. Eager.
+    """``keys`` (the first is the id), fingerprint (16 hex digits a part), component_id and root per row. Eager.
 
-    root, a fingerprint as a long, tells components apart whatever their ids.
+    root, a long, tells components apart whatever their ids.
     """
-    rows = cut(fingerprints(docs, keys, text_col, k))
-    nodes = cut(rows.groupBy("fp").agg(F.min(keys[0]).alias("first")))
-    roots = connected_components(near_links(nodes, radius, max_bucket), "a", "b")
-    with_root = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    names = part_names(parts)
+    rows = cut(fingerprints(docs, keys, text_col, k, parts))
+    # numbered once: the numbers are part of the checkpoint
+    nodes = cut(rows.groupBy(*names).agg(F.min(keys[0]).alias("first")).withColumn("node", F.monotonically_increasing_id()))
+    roots = connected_components(near_links(nodes.select("node", *names), parts, radius, max_distance, max_bucket), "a", "b")
+    with_root = nodes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(*names, "first", F.coalesce("root", "node").alias("root"))
     with_root = cut(with_root)
     # materialised, so that the join below sees two plain exchanges and can split a large component
     smallest = with_root.groupBy("root").agg(F.min("first").alias("component_id"))
     smallest = cut(smallest)
-    ids = with_root.join(smallest, "root").select("fp", "component_id", "root")
-    out = rows.join(ids, "fp", "left")
-    return out.select(*keys, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
+    ids = with_root.join(smallest, "root").select(*names, "component_id", "root")
+    out = rows.join(ids, names, "left")
+    return out.select(*keys, F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in names]).alias("fingerprint"), "component_id", "root")

@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter
+from itertools import combinations
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -76,3 +77,27 @@ def quality(text, limits, min_words=50, symbols=0.2, lines=0.3):
     cover = {k: sum(len(w[i]) for i in repeated_words(w, k)) for k in limits}
     bad = n_symbols > symbols * n or dup_chars > lines * chars or any(cover[k] > x * word_chars for k, x in limits.items())
     return n, word_chars, n_symbols, dup, repeat, base, not (base or bad), cover
+
+
+def shingle_set(text, k=5):
+    words = split(lower(text or ""))
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def jaccard_components(texts, ids):
+    """id: smallest id reachable over pairs whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more."""
+    sets, parent = [shingle_set(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        a, b = sets[i], sets[j]
+        if a == b or 5 * len(a & b) >= 4 * len(a | b):
+            parent[find(j)] = find(i)
+    groups = {}
+    for i in range(len(texts)):
+        groups.setdefault(find(i), []).append(ids[i])
+    return {ids[i]: min(groups[find(i)]) for i in range(len(texts))}

@@ -10,10 +10,9 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from corvane.llm import quality_rules, simhash, suffix_dedup
+from corvane.llm import quality_rules, suffix_dedup
 from tests.llm import plain
 from tests.llm.test_mixing import plain_targets
-from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 ROOT = Path(__file__).resolve().parents[2]
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -69,8 +68,7 @@ def test_quality_stage(stages, made):
 
 def test_near_duplicate_stage(stages):
     before = [tuple(r) for r in stages[1][0].collect()]
-    fps = [plain_fingerprint(r[1], simhash.SHINGLE) for r in before]
-    groups = plain_components(fps, list(range(len(before))))
+    groups = plain.jaccard_components([r[1] for r in before], list(range(len(before))))
     best = {}
     for i, r in enumerate(before):
         key = (r[0] is None, r[0] or 0)

@@ -46,7 +46,14 @@ def plain_components(fps, ids, radius=4):
 
 @pytest.mark.parametrize("text", [None, "", " \t", "one", "One two THREE", "a b c d", "É a b c d e f É", "x " * 5000, "a b c\x1cd e f g"])
 def test_fingerprint_is_the_plain_one(text):
-    assert simhash.fingerprint(text.encode() if text is not None else None) == plain_fingerprint(text)
+    assert simhash.fingerprint(text.encode() if text is not None else None).tolist() == [plain_fingerprint(text)]
+
+
+def test_parts_differ_and_the_first_is_the_plain_one():
+    text = "a b c d e f g h i j k"
+    parts = simhash.fingerprint(text.encode(), parts=4).tolist()
+    assert parts[0] == plain_fingerprint(text) and len(set(parts)) == 4 and simhash.fingerprint(None, parts=3).tolist() == [0, 0, 0]
+    assert (simhash.expected_distance(1.0, 256), simhash.expected_distance(0.0, 256), simhash.expected_distance(0.8, 256)) == (0, 128, 39)
 
 
 def test_every_pair_within_the_radius_meets_in_a_table():
@@ -86,10 +93,31 @@ def test_bucket_links_of_a_large_bucket_join_what_is_near():
     for _ in range(299):  # a chain: neighbours differ in one bit, ends in many
         walk.append(walk[-1] ^ 1 << int(rng.integers(0, 64)))
     fps = np.unique(np.array(walk, np.uint64))
-    a, b = simhash.bucket_links(fps, np.zeros(len(fps), int), 4)
+    a, b = simhash.bucket_links(fps[:, None], np.zeros(len(fps), int), 4)
     assert len(a) == len(fps) - 1 and len(set(b.tolist())) == 1
 
 
+@pytest.mark.parametrize("max_bucket", [2048, 4])
+def test_several_parts_find_pairs_of_five_word_similarity(spark, max_bucket):
+    """Links at an estimated 0.8: nearly all pairs of 0.9 or more, none far below 0.8."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghijkl", k=6))
+    rows, close = [], 0
+    for i in range(120):
+        base = [word() for _ in range(200)]
+        edited = list(base)
+        tail = [3, 9, 60][i % 3]  # similarity 0.97, 0.91, 0.53
+        edited[200 - tail :] = [word() for _ in range(tail)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(edited))]
+        close += tail < 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.simhash_components(docs, k=5, parts=4, max_distance=simhash.expected_distance(0.8, 256), max_bucket=max_bucket).collect()
+    root = {r["doc_id"]: r["component_id"] for r in found}
+    linked = [i for i in range(120) if root[2 * i + 1] == 2 * i]
+    assert not any(i % 3 == 2 for i in linked) and all(root[2 * i] == 2 * i for i in range(120))
+    assert len(linked) >= 0.9 * close
+
+
 def test_empty_table_and_null_ids(spark):
     assert simhash.simhash_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     docs = spark.createDataFrame([(None, "a b c d e"), (3, "a b c d e"), (3, "a b c d e")], "doc_id long, text string")
