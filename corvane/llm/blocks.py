@@ -2,16 +2,22 @@
 
 Some operators need, for every key that occurs in a text (a word, an n-gram, an anchor of a repeat), a figure
 over all texts. Sending a row per key occurrence would multiply the input. Here documents are dealt to blocks of
-a few MB by a hash of id and text (many null ids do not meet in one block); a block sends each distinct key once, as sorted 64-bit hashes cut into buckets
-by their leading bits; a bucket sees every block's keys of its range and answers each block in the same order.
-A key that a third of all documents hold costs one entry a block, wherever it lands.
+a few MB by a hash of id and text (many null ids do not meet in one block); a block sends each distinct key once, as
+sorted 64-bit hashes cut into cells by their leading bits; a bucket sees every block's keys of its range and answers
+each block in the same order. A key that a third of all documents hold costs one entry a block, wherever it lands.
+
+A block sends at most 2**FAN cells. Where there are more buckets than that, the way there has several levels, like a
+radix sort: groups of 2**FAN blocks meet by the first bits of their keys, merge equal keys, and send cells by the next
+bits; answers come back the same way. So every level sends at most 2**FAN rows a block and each distinct key at most once
+a block: rows and bytes grow with the input (times the levels, one up to 64 GB of text, two up to 250 TB), not with
+blocks times buckets.
 
 The documents are shuffled to their blocks once; later steps that need the texts again reuse that exchange.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,19 +27,23 @@ from pyspark.sql import functions as F
 
 LEAST_BLOCK, LARGEST_BLOCK = 4 << 20, 16 << 20  # bytes of text; a task needs about 20 times as much memory
 LEAST_BUCKET, LARGEST_BUCKET = 8 << 20, 32 << 20  # bytes of all texts over the number of buckets
+FAN = 12  # bits of a key that one level tells apart
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+CELLS = "bucket long, block long, keys binary, info binary, data binary, sizes binary"
+TOLD = "bucket long, block long, number binary, v0 binary, v1 binary, v2 binary, extra binary"
 
 
 @dataclass(frozen=True)
 class Dealt:
-    """Documents by block (_block, _k0.., _text) and the numbers of blocks and of buckets (a power of two)."""
+    """Documents by block (_block, _k0.., _text), the number of blocks, the bits of each level and the blocks a group has."""
 
     docs: DataFrame
     blocks: int
-    bits: int
+    levels: tuple[int, ...]
+    group: int
 
 
-def deal(docs: DataFrame, keys: Sequence[str], text_col: str, block_bytes: int | None = None, largest_bucket: int = LARGEST_BUCKET, **extra) -> Dealt:
+def deal(docs: DataFrame, keys: Sequence[str], text_col: str, block_bytes: int | None = None, largest_bucket: int = LARGEST_BUCKET, fan: int = FAN, **extra) -> Dealt:
     """Deal documents to blocks. Both block and bucket sizes grow with the root of the input up to what a task can hold.
 
     ``extra``: further columns to carry, by name. The driver gets one number, the bytes of all texts.
@@ -45,9 +55,11 @@ def deal(docs: DataFrame, keys: Sequence[str], text_col: str, block_bytes: int |
     bucket = min(largest_bucket, max(LEAST_BUCKET, int(272 * root)))
     blocks = max(1, -(-total // block))
     bits = max(1, (total // (block_bytes or bucket)).bit_length())
+    depth = -(-bits // fan)
+    levels = tuple(bits // depth + (i < bits % depth) for i in range(depth))
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    dealt = F.pmod(F.xxhash64(F.col(keys[0]), text), F.lit(blocks)).cast("int").alias("_block")
-    return Dealt(docs.select(dealt, *named, text.alias("_text"), *[c.alias(n) for n, c in extra.items()]), blocks, bits)
+    dealt = F.pmod(F.xxhash64(F.col(keys[0]), text), F.lit(blocks)).cast("long").alias("_block")
+    return Dealt(docs.select(dealt, *named, text.alias("_text"), *[c.alias(n) for n, c in extra.items()]), blocks, levels, 1 << fan)
 
 
 def in_order(table: pa.Table, keys: int) -> pa.Table:
@@ -71,12 +83,6 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * MULTIPLY[0] + mix(b + MULTIPLY[1]))
 
 
-def bucket_bounds(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Where each bucket's range begins in sorted hashes, and the end."""
-    starts = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-    return np.append(np.searchsorted(hashes, starts), len(hashes))
-
-
 def pack(values: np.ndarray) -> bytes:
     """An array's bytes, compressed; counts are mostly small."""
     raw = np.ascontiguousarray(values).tobytes()
@@ -99,6 +105,14 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def _pack_any(values: np.ndarray) -> bytes:
+    return values.dtype.str.encode().ljust(4) + pack(values)
+
+
+def _unpack_any(data: bytes) -> np.ndarray:
+    return unpack(data[4:], np.dtype(data[:4].decode().strip()))
+
+
 def cut_evenly(total: int, sizes: Sequence[int]) -> Iterator[slice]:
     """Consecutive slices of the given sizes."""
     at = 0
@@ -106,3 +120,147 @@ def cut_evenly(total: int, sizes: Sequence[int]) -> Iterator[slice]:
         yield slice(at, at + size)
         at += size
     assert at == total
+
+
+# ---- what cells hold
+
+
+@dataclass
+class Entries:
+    """Keys in ascending order, each with a figure and, if the keys stand for texts, the text."""
+
+    keys: np.ndarray
+    info: np.ndarray
+    texts: list[bytes] | None = None
+
+    def rows(self, bucket: int, done: int, bits: int, block: int, every: bool) -> pa.Table:
+        """A cell for each value of the ``bits`` bits after the first ``done``, which are ``bucket``; empty ones if ``every``."""
+        first = (bucket << bits) * (1 << (64 - done - bits))
+        starts = np.arange(1 << bits, dtype=np.uint64) * np.uint64(1 << (64 - done - bits)) + np.uint64(first)
+        at = np.append(np.searchsorted(self.keys, starts), len(self.keys))
+        at[0] = 0
+        some = np.arange(1 << bits) if every else np.flatnonzero(np.diff(at))
+        spans = [slice(a, b) for a, b in zip(at[some].tolist(), at[some + 1].tolist(), strict=True)]
+        none = pa.nulls(len(spans), pa.binary())
+        sizes = np.fromiter(map(len, self.texts), np.int32, len(self.texts)) if self.texts is not None else None
+        return pa.table({
+            "bucket": pa.array((bucket << bits) + some, pa.int64()), "block": pa.array(np.full(len(spans), block), pa.int64()),
+            "keys": pa.array([pack_sorted(self.keys[s]) for s in spans], pa.binary()),
+            "info": pa.array([pack(self.info[s]) for s in spans], pa.binary()),
+            "data": none if sizes is None else pa.array([b"".join(self.texts[s]) for s in spans], pa.binary()),
+            "sizes": none if sizes is None else pa.array([pack(sizes[s]) for s in spans], pa.binary()),
+        })
+
+
+Combine = Callable[[np.ndarray, np.ndarray, int], np.ndarray]
+
+
+def merge(cells: pa.Table, combine: Combine) -> tuple[Entries, list[np.ndarray]]:
+    """The distinct entries of cells of one range, and where each cell's are among them.
+
+    ``combine`` gets every entry's place, its figure and the number of places, and gives the places' figures.
+    """
+    keys = [unpack_sorted(k) for k in cells.column("keys").to_pylist()]
+    info = [unpack(x, np.int64) for x in cells.column("info").to_pylist()]
+    every = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    figures = np.concatenate(info) if info else np.zeros(0, np.int64)
+    texts = None
+    if cells.num_rows and cells.column("data").null_count == 0:
+        number: dict[bytes, int] = {}
+        places = []
+        for data, sizes in zip(cells.column("data").to_pylist(), cells.column("sizes").to_pylist(), strict=True):
+            ends = np.cumsum(unpack(sizes, np.int32).astype(np.int64)).tolist()
+            places += [number.setdefault(data[a:b], len(number)) for a, b in zip([0, *ends], ends, strict=False)]
+        at, texts = np.array(places, np.int64), list(number)
+        distinct = np.zeros(len(texts), np.uint64)
+        distinct[at] = every
+        order = np.argsort(distinct, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        at, distinct, texts = rank[at], distinct[order], [texts[i] for i in order.tolist()]
+    else:
+        distinct, at = np.unique(every, return_inverse=True)
+    sizes = list(map(len, keys))
+    return Entries(distinct, combine(at, figures, len(distinct)), texts), [at[s] for s in cut_evenly(len(every), sizes)]
+
+
+@dataclass
+class Answers:
+    """For each entry ``number`` values (None: one) in each of up to three columns; and figures of the range as a whole."""
+
+    columns: list[np.ndarray]
+    number: np.ndarray | None = None
+    extra: tuple[int, ...] = ()
+
+    def take(self, at: np.ndarray) -> Answers:
+        if self.number is None:
+            return Answers([c[at] for c in self.columns], None, self.extra)
+        begin, number = np.cumsum(self.number) - self.number, self.number[at]
+        places = np.repeat(begin[at] - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))
+        return Answers([c[places] for c in self.columns], number, self.extra)
+
+    @staticmethod
+    def read(told: pa.Table) -> Answers:
+        """The answers of cells, in the order of their ranges; their extra figures added up."""
+        told = told.sort_by("bucket")
+        column = lambda c: [_unpack_any(x) for x in told.column(c).to_pylist() if x is not None]
+        columns = [np.concatenate(parts) for parts in map(column, ("v0", "v1", "v2")) if parts]
+        number, extra = column("number"), column("extra")
+        return Answers(columns, np.concatenate(number) if number else None, tuple(np.sum(extra, axis=0).tolist()) if extra else ())
+
+    def row(self) -> list[bytes | None]:
+        """number, v0, v1, v2 and extra of one row of TOLD."""
+        values = [*map(_pack_any, self.columns), None, None, None][:3]
+        return [None if self.number is None else _pack_any(self.number), *values, _pack_any(np.array(self.extra, np.int64)) if self.extra else None]
+
+
+def _told(cells: pa.Table, answers: list[Answers]) -> pa.Table:
+    columns = list(zip(*[a.row() for a in answers], strict=True)) or [()] * 5
+    named = {c: pa.array(list(v), pa.binary()) for c, v in zip(("number", "v0", "v1", "v2", "extra"), columns, strict=True)}
+    return pa.table({"bucket": cells.column("bucket").combine_chunks(), "block": cells.column("block").combine_chunks()} | named)
+
+
+def _split(done: int, bits: int, combine: Combine, every: bool):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        merged, _ = merge(table, combine)
+        return merged.rows(key[0].as_py(), done, bits, key[1].as_py(), every)
+
+    return run
+
+
+def climb(cells: DataFrame, dealt: Dealt, combine: Combine, every: bool = False) -> list[DataFrame]:
+    """The cells of each level (CELLS), the blocks' own first."""
+    up, done = [cells], dealt.levels[0]
+    for bits in dealt.levels[1:]:
+        up.append(_grouped(up[-1], dealt.group).groupBy("bucket", "group").applyInArrow(_split(done, bits, combine, every), CELLS))
+        done += bits
+    return up
+
+
+def exchange(cells: DataFrame, dealt: Dealt, combine: Combine, answer: Callable[[Entries], Answers], every: bool = False) -> DataFrame:
+    """TOLD: the answer of the key's bucket to every entry of the blocks' first-level ``cells`` (CELLS).
+
+    ``answer`` gets a bucket's distinct entries with their figures over all blocks, and gives answers in the same order.
+    """
+    up = climb(cells, dealt, combine, every)
+
+    def settle(table: pa.Table) -> pa.Table:
+        merged, places = merge(table, combine)
+        found = answer(merged)
+        return _told(table, [found.take(at) for at in places])
+
+    told = up[-1].groupBy("bucket").applyInArrow(settle, TOLD)
+    for bits, own in zip(reversed(dealt.levels[1:]), reversed(up[:-1]), strict=True):
+
+        def descend(table: pa.Table, told: pa.Table) -> pa.Table:
+            _, places = merge(table, combine)
+            found = Answers.read(told)
+            return _told(table, [found.take(at) for at in places])
+
+        parent = told.withColumn("parent", F.shiftright("bucket", bits))
+        told = _grouped(own, dealt.group).groupBy("bucket", "group").cogroup(parent.groupBy("parent", "block")).applyInArrow(descend, TOLD)
+    return told
+
+
+def _grouped(cells: DataFrame, group: int) -> DataFrame:
+    return cells.withColumn("group", F.floor(F.col("block") / group).cast("long"))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.blocks import MULTIPLY, bucket_bounds, cut_evenly, deal, in_order, mix, pack, pack_sorted, unpack, unpack_sorted
+from corvane.llm.blocks import CELLS, FAN, MULTIPLY, Answers, Entries, deal, exchange, in_order, mix
 
 LENGTH = 50
 GRAM = 16
@@ -43,11 +43,6 @@ LARGEST_BUCKET = 16 << 20  # a bucket's suffix array takes about 20 times its se
 STEP = 1 << 16  # window starts worked on at a time
 LAST_ID = np.iinfo(np.int64).max
 
-ASKED = "bucket int, block int, keys binary, info binary"
-FLAGS = "bucket int, block int, flags binary"
-SENT = "bucket int, block int, data binary, sizes binary, least binary"
-RUNS = "bucket int, block int, number binary, offsets binary, lengths binary, least binary"
-
 
 # ---- anchors
 
@@ -265,6 +260,8 @@ def earliest(texts: Sequence[bytes], least: np.ndarray, length: int) -> np.ndarr
 
 
 def _ask(bits: int, length: int):
+    """Each distinct anchor with twice the number of its segments, and one more if they lie in several documents."""
+
     def run(table: pa.Table) -> pa.Table:
         block = table.column("_block")[0].as_py()
         own = BlockTexts(table, length)
@@ -273,94 +270,65 @@ def _ask(bits: int, length: int):
         counts = np.bincount(own.inverse, minlength=len(own.anchors)).astype(np.int64)
         at = np.cumsum(counts) - counts
         several = np.minimum.reduceat(ids, at) != np.maximum.reduceat(ids, at) if len(at) else np.zeros(0, bool)
-        info = counts * 2 + several
-        b = bucket_bounds(own.anchors, bits)
-        some = [i for i in range(1 << bits) if b[i] < b[i + 1]]
-        return pa.table({
-            "bucket": pa.array(some, pa.int32()), "block": pa.array([block] * len(some), pa.int32()),
-            "keys": pa.array([pack_sorted(own.anchors[b[i] : b[i + 1]]) for i in some], pa.binary()),
-            "info": pa.array([pack(info[b[i] : b[i + 1]]) for i in some], pa.binary()),
-        })
+        return Entries(own.anchors, counts * 2 + several).rows(0, 0, bits, block, every=False)
 
     return run
 
 
+def _gather(at: np.ndarray, info: np.ndarray, n: int) -> np.ndarray:
+    """An anchor that comes from two blocks lies in several documents."""
+    several = (np.bincount(at, minlength=n) > 1) | (np.bincount(at, weights=info & 1, minlength=n) > 0)
+    segments = np.zeros(n, np.int64)
+    np.add.at(segments, at, info >> 1)
+    return segments * 2 + several
+
+
 def _flag(hot: int):
-    def run(table: pa.Table) -> pa.Table:
-        keys = [unpack_sorted(k) for k in table.column("keys").to_pylist()]
-        info = np.concatenate([unpack(x, np.int64) for x in table.column("info").to_pylist()])
-        _, at = np.unique(np.concatenate(keys), return_inverse=True)
-        blocks = np.bincount(at)
-        several = np.bincount(at, weights=info & 1) > 0
-        segments = np.bincount(at, weights=info >> 1)
-        flags = np.where((blocks > 1) | several, np.where(segments > hot, 2, 1), 0).astype(np.uint8)[at]
-        return pa.table({
-            "bucket": table.column("bucket").combine_chunks(), "block": table.column("block").combine_chunks(),
-            "flags": pa.array([pack(flags[s]) for s in cut_evenly(len(at), list(map(len, keys)))], pa.binary()),
-        })
+    """1 for an anchor in several documents, 2 for one that is hot as well, else 0."""
+
+    def run(entries: Entries) -> Answers:
+        shared = entries.info & 1
+        return Answers([(shared + (shared & (entries.info >> 1 > hot))).astype(np.uint8)])
 
     return run
 
 
 def _flags_of(told: pa.Table) -> np.ndarray:
-    parts = [unpack(x, np.uint8) for x in told.sort_by("bucket").column("flags").to_pylist()]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+    found = Answers.read(told).columns
+    return found[0] if found else np.zeros(0, np.uint8)
+
+
+def _least(at: np.ndarray, least: np.ndarray, n: int) -> np.ndarray:
+    out = np.full(n, LAST_ID)
+    np.minimum.at(out, at, least)
+    return out
 
 
 def _send(bits: int, length: int):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return pa.schema([("bucket", pa.int32()), ("block", pa.int32()), *[(c, pa.binary()) for c in ("data", "sizes", "least")]]).empty_table()
-        block = docs.column("_block")[0].as_py()
+            return Entries(np.zeros(0, np.uint64), np.zeros(0, np.int64), []).rows(0, 0, bits, 0, every=False)
         own = BlockTexts(docs, length)
         texts, keys, piece, doc, _ = own.pieces(_flags_of(told))
-        least = np.full(len(texts), LAST_ID)
-        np.minimum.at(least, piece, own.ids[doc])
-        sizes = np.fromiter(map(len, texts), np.int32, len(texts))
-        b = bucket_bounds(keys, bits)
-        some = [i for i in range(1 << bits) if b[i] < b[i + 1]]
-        return pa.table({
-            "bucket": pa.array(some, pa.int32()), "block": pa.array([block] * len(some), pa.int32()),
-            "data": pa.array([b"".join(texts[b[i] : b[i + 1]]) for i in some], pa.binary()),
-            "sizes": pa.array([pack(sizes[b[i] : b[i + 1]]) for i in some], pa.binary()),
-            "least": pa.array([pack(least[b[i] : b[i + 1]]) for i in some], pa.binary()),
-        })
+        return Entries(keys, _least(piece, own.ids[doc], len(texts)), texts).rows(0, 0, bits, docs.column("_block")[0].as_py(), every=False)
 
     return run
 
 
 def _repeats(length: int):
-    def run(table: pa.Table) -> pa.Table:
-        number: dict[bytes, int] = {}
-        rows, docs = [], []
-        for data, sizes, least in zip(*[table.column(c).to_pylist() for c in ("data", "sizes", "least")], strict=True):
-            sizes = unpack(sizes, np.int32).astype(np.int64)
-            ends = np.cumsum(sizes).tolist()
-            rows.append(np.array([number.setdefault(data[a:b], len(number)) for a, b in zip([0, *ends], ends, strict=False)], np.int64))
-            docs.append(unpack(least, np.int64))
-        texts = list(number)
-        least = np.full(len(texts), LAST_ID)
-        np.minimum.at(least, np.concatenate(rows), np.concatenate(docs))
-        out = earliest(texts, least, length)
+    """For each segment runs of bytes (offset, length) with the smallest document that has them."""
+
+    def run(entries: Entries) -> Answers:
+        texts = entries.texts or []
+        out = earliest(texts, entries.info, length)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         starts = np.cumsum(sizes) - sizes
-        step = np.concatenate([[True], out[1:] != out[:-1]])
+        step = np.concatenate([[True], out[1:] != out[:-1]])[: len(out)]
         step[starts] = True
         first = np.flatnonzero(step)
         owner = np.searchsorted(starts, first, "right") - 1
-        lengths, offsets, doc = np.diff(np.append(first, len(out))), first - starts[owner], out[first]
-        number_of = np.bincount(owner, minlength=len(texts))
-        begin = np.cumsum(number_of) - number_of
-        answers = []
-        for own in rows:
-            n = number_of[own]
-            at = np.repeat(begin[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            answers.append((pack(n.astype(np.int32)), pack(offsets[at].astype(np.int32)), pack(lengths[at].astype(np.int32)), pack(doc[at])))
-        columns = list(zip(*answers, strict=True))
-        return pa.table(
-            {"bucket": table.column("bucket").combine_chunks(), "block": table.column("block").combine_chunks()}
-            | {c: pa.array(list(x), pa.binary()) for c, x in zip(("number", "offsets", "lengths", "least"), columns, strict=True)}
-        )
+        number = np.bincount(owner, minlength=len(texts)).astype(np.int32)
+        return Answers([(first - starts[owner]).astype(np.int32), np.diff(np.append(first, len(out))).astype(np.int32), out[first]], number)
 
     return run
 
@@ -378,21 +346,16 @@ def _remove(keys: int, length: int, whole: bool):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         names = [f"_k{i}" for i in range(keys)]
         own = BlockTexts(docs, length)
-        runs = told.filter(pa.compute.is_null(told.column("flags"))).sort_by("bucket")
-        _, _, piece, doc, start = own.pieces(_flags_of(told.filter(pa.compute.is_valid(told.column("flags")))))
+        runs = pa.compute.is_valid(told.column("number"))
+        _, _, piece, doc, start = own.pieces(_flags_of(told.filter(pa.compute.invert(runs))))
         n = len(own.buf)
         covered = np.zeros(n, bool)
         if len(piece):
-            number, offset, size, least = (
-                np.concatenate([unpack(x, kind) for x in runs.column(c).to_pylist()]).astype(np.int64)
-                for c, kind in (("number", np.int32), ("offsets", np.int32), ("lengths", np.int32), ("least", np.int64))
-            )
-            begin = np.cumsum(number) - number
-            each = number[piece]
-            at = np.repeat(begin[piece] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
-            earlier = least[at] < np.repeat(own.ids[doc], each)
-            a = (np.repeat(start, each) + offset[at])[earlier]
-            b = a + size[at][earlier]
+            found = Answers.read(told.filter(runs)).take(piece)
+            offset, size, least = (c.astype(np.int64) for c in found.columns)
+            earlier = least < np.repeat(own.ids[doc], found.number)
+            a = (np.repeat(start, found.number) + offset)[earlier]
+            b = a + size[earlier]
             steps = np.zeros(n + 1, np.int32)
             np.add.at(steps, a, 1)
             np.subtract.at(steps, b, 1)
@@ -430,19 +393,18 @@ def suffix_dedup(
     hot: int = HOT,
     block_bytes: int | None = None,
     whole_characters: bool = False,
+    fan: int = FAN,
 ) -> DataFrame:
     """``keys`` (the first an integer id), n_bytes, spans (start and length of removed runs) and kept (the bytes left).
 
     kept is null for a null text. ``whole_characters``: characters that would lose some of their bytes stay whole.
     """
-    dealt = deal(docs, keys, text_col, block_bytes, LARGEST_BUCKET)
+    dealt = deal(docs, keys, text_col, block_bytes, LARGEST_BUCKET, fan)
     blocks = lambda: dealt.docs.groupBy("_block")
-    asked = blocks().applyInArrow(_ask(dealt.bits, length), ASKED)
-    flags = asked.groupBy("bucket").applyInArrow(_flag(hot), FLAGS)
-    sent = blocks().cogroup(flags.groupBy("block")).applyInArrow(_send(dealt.bits, length), SENT)
-    runs = sent.groupBy("bucket").applyInArrow(_repeats(length), RUNS)
-    none = {c: F.lit(None).cast("binary") for c in ("number", "offsets", "lengths", "least")}
-    told = flags.withColumns(none).unionByName(runs.withColumn("flags", F.lit(None).cast("binary")))
+    first = dealt.levels[0]
+    flags = exchange(blocks().applyInArrow(_ask(first, length), CELLS), dealt, _gather, _flag(hot))
+    sent = blocks().cogroup(flags.groupBy("block")).applyInArrow(_send(first, length), CELLS)
+    told = flags.unionByName(exchange(sent, dealt, _least, _repeats(length)))
     ddl = ", ".join(f"_k{i} {dealt.docs.schema[f'_k{i}'].dataType.simpleString()}" for i in range(len(keys)))
     out = blocks().cogroup(told.groupBy("block")).applyInArrow(
         _remove(len(keys), length, whole_characters), f"{ddl}, n_bytes long, spans array<struct<start: long, length: long>>, kept binary"

@@ -46,11 +46,14 @@ def make_rows(seed, n=150):
     return rows
 
 
-@pytest.mark.parametrize(("length", "hot", "block_bytes", "seed"), [(50, 20_000, None, 1), (50, 3, 900, 2), (20, 20_000, 900, 3), (20, 2, 3000, 4), (5, 20_000, 3000, 5)])
-def test_removed_bytes_equal_the_rule(spark, length, hot, block_bytes, seed):
+@pytest.mark.parametrize(
+    ("length", "hot", "block_bytes", "seed", "fan"),
+    [(50, 20_000, None, 1, 12), (50, 3, 900, 2, 12), (20, 20_000, 900, 3, 2), (20, 2, 3000, 4, 1), (5, 20_000, 3000, 5, 12)],
+)
+def test_removed_bytes_equal_the_rule(spark, length, hot, block_bytes, seed, fan):
     rows = make_rows(seed)
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, kept string")
-    out = sd.suffix_dedup(docs, length=length, hot=hot, block_bytes=block_bytes).collect()
+    out = sd.suffix_dedup(docs, length=length, hot=hot, block_bytes=block_bytes, fan=fan).collect()
     got, want = defaultdict(list), defaultdict(list)
     for r in out:
         got[r["doc_id"]].append((r["n_bytes"], tuple((s["start"], s["length"]) for s in r["spans"]), bytes(r["kept"] or b"")))
