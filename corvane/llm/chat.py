@@ -7,16 +7,23 @@ empty ``tool_calls`` as well; a turn with calls, no result and other fields (tex
 with its whole text.
 
 Results are hash-joined to calls by conversation and identifier. An identifier is used by the first call of a
-conversation that bears it; later calls with it are ``duplicate_id``. Calls are put in topological order by
-levels: 0 without dependencies, else one more than the highest level among them; a call whose dependencies
-never settle (a cycle, or an unknown id) has level -1. A result is ordered right after its call: ``order_turn``
-is its call's turn, its level the call's plus one; sorting by (conv_id, order_turn, level, turn) replays a
-conversation with every call before its result.
+conversation that bears it; later calls with it are ``duplicate_id``. A result answers its call from a later turn; one
+that does not come after its call is ``early`` and answers nothing.
+
+Calls are put in topological order: a call's level is 0 without dependencies, else one more than the highest level
+among them, and its ``order_turn`` is the latest of its own turn and its dependencies' order_turns. A call that waits
+for a cycle has level -1 and its own turn; a dependency that no call bears counts for nothing. A result stands right
+after its call: it has its call's order_turn, and its level is one more (levels of calls are even). So sorting by
+(conv_id, order_turn, level, turn) replays a conversation with every call after those it depends on and their results.
+
+Levels come by rake and compress: each round folds settled dependencies into the calls that wait for them, and lets a
+call that waits for one with a single open dependency wait for that one instead. A chain of n calls takes about
+log2(n) rounds.
 
 Arguments are validated against the tools' schemas (name, param, type, required). Types: string, integer,
-number, boolean, object, array. Status of a call: ok, unanswered, duplicate_id, cyclic, or what is wrong with
-its arguments (unknown_tool, missing_argument, unknown_argument, wrong_type). Of a result: linked or orphan. Of
-a message: message.
+number, boolean, object, array. Status of a call, the first that holds: duplicate_id, what is wrong with its arguments
+(unknown_tool, not_an_object, missing_argument, unknown_argument, wrong_type), cyclic, unknown_dependency, unanswered, ok.
+Absent or null arguments are an empty object. Of a result: linked, early or orphan. Of a message: message.
 
 ``message_json`` is canonical: keys sorted at every level, no white space, numbers in one form.
 
@@ -71,21 +78,34 @@ def parse_turns(turns: DataFrame) -> DataFrame:
 
 
 def _levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, id, level) of calls by rounds: a call's level is known once all its dependencies' are."""
-    edges = calls.select("conv_id", "id", F.explode("depends_on").alias("needs")).distinct()
-    none = calls.filter(F.size("depends_on") == 0).select("conv_id", "id", F.lit(0).cast("long").alias("level"))
+    """(conv_id, id, level, top) of (conv_id, id, turn, depends_on): level null where a cycle never settles; top: the latest turn."""
+    key = ["conv_id", "id"]
+    nodes = calls.select(*key, F.lit(0).cast("long").alias("level"), F.col("turn").alias("top"))
+    asked = calls.select(*key, F.explode(F.array_distinct("depends_on")).alias("needs"), F.lit(1).cast("long").alias("hops"))
+    known = calls.select("conv_id", F.col("id").alias("needs"))
+    edges = cut(asked.join(known, ["conv_id", "needs"], "left_semi").select(*key, "needs", "hops"))
     if edges.limit(1).count() == 0:
-        return none
-    edges, known = cut(edges), cut(none)
-    before = known.count()
-    while True:
-        met = edges.join(known.select("conv_id", F.col("id").alias("needs"), "level"), ["conv_id", "needs"], "left")
-        ready = met.groupBy("conv_id", "id").agg(F.count_if(F.isnull("level")).alias("open"), (F.max("level") + 1).alias("level"))
-        known = cut(none.unionByName(ready.filter("open = 0").select("conv_id", "id", "level")))
-        now = known.count()
-        if now == before:
-            return known
-        before = now
+        return nodes
+    nodes = cut(nodes.join(edges.groupBy(*key).agg(F.count(F.lit(1)).alias("open")), key, "left").na.fill(0, ["open"]))
+    settled = nodes.filter("open = 0").count()
+    while settled:
+        # what a call waits for: its level and latest turn so far, and what it waits for itself if that is one call
+        single = edges.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.first("needs").alias("next"), F.first("hops").alias("more")).filter("n = 1").drop("n")
+        other = nodes.join(single, key, "left").select("conv_id", F.col("id").alias("needs"), F.col("level").alias("l"), F.col("top").alias("t"), "open", "next", "more")
+        met = edges.join(other, ["conv_id", "needs"])
+        folded = met.groupBy(*key).agg(F.max(F.col("l") + F.col("hops")).alias("l"), F.max("t").alias("t"))
+        jump = met.filter("open > 0").select(*key, F.coalesce("next", "needs").alias("needs"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"))
+        edges = cut(jump.groupBy(*key, "needs").agg(F.max("hops").alias("hops")))
+        left = edges.groupBy(*key).agg(F.count(F.lit(1)).alias("open"))
+        nodes = cut(
+            nodes.drop("open").join(folded, key, "left").join(left, key, "left")
+            .select(*key, F.greatest("level", "l").alias("level"), F.greatest("top", "t").alias("top"), F.coalesce("open", F.lit(0)).alias("open"))
+        )
+        now = nodes.filter("open = 0").count()
+        if now == settled:  # who still waits does so for a cycle
+            break
+        settled = now
+    return nodes.select(*key, F.when(F.col("open") == 0, F.col("level")).alias("level"), F.when(F.col("open") == 0, F.col("top")).alias("top"))
 
 
 def _argument_faults(calls: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -98,7 +118,7 @@ def _argument_faults(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     allowed = F.lit(None).cast("array<string>")
     accept = lambda t: F.coalesce(*[F.when(t == n, F.array(*map(F.lit, v))) for n, v in TYPES.items()], allowed)
     wrong = F.exists(F.map_entries(given), lambda e: ~F.coalesce(F.array_contains(accept(F.col("params")[e["key"]]["type"]), _type_of(e["value"])), F.lit(False)))
-    fault = F.when(F.isnull("params"), "unknown_tool").when(missing, "missing_argument").when(unknown, "unknown_argument").when(wrong, "wrong_type")
+    fault = F.when(F.isnull("params"), "unknown_tool").when(F.col("bad_args"), "not_an_object").when(missing, "missing_argument").when(unknown, "unknown_argument").when(wrong, "wrong_type")
     return met.select("conv_id", "turn", "at", fault.alias("fault"))
 
 
@@ -132,36 +152,45 @@ def format_turns(turns: DataFrame, schemas: DataFrame | None = None) -> DataFram
         "conv_id", "turn", "at", "role",
         F.try_variant_get("call", "$.id", "string").alias("id"), F.try_variant_get("call", "$.name", "string").alias("name"),
         F.try_variant_get("call", "$.arguments", "map<string,variant>").alias("args"),
+        (F.coalesce(_type_of(F.try_variant_get("call", "$.arguments", "variant")), F.lit("VOID")).isin("VOID", "OBJECT") == F.lit(False)).alias("bad_args"),
         F.coalesce(F.try_variant_get("call", "$.depends_on", "array<string>"), F.array().cast("array<string>")).alias("depends_on"),
         F.to_json("call").alias("json"),
     )
     owner = calls.filter(F.isnotnull("id")).groupBy("conv_id", "id").agg(F.min(F.struct("turn", "at")).alias("own"))
     results = again.filter(F.isnotnull("_result")).select("conv_id", "turn", "role", F.col("_result").alias("id"), "json")
-    answers = results.groupBy("conv_id", "id").agg(F.min("turn").alias("answer"))
-    first = calls.join(owner, ["conv_id", "id"]).filter((F.col("turn") == F.col("own.turn")) & (F.col("at") == F.col("own.at"))).select("conv_id", "id", "depends_on")
-    levels = _levels(first.dropDuplicates(["conv_id", "id"]))
     owned = owner.select("conv_id", "id", F.col("own.turn").alias("own_turn"), F.col("own.at").alias("own_at"))
-    faults = _argument_faults(calls.select("conv_id", "turn", "at", "name", "args"), schemas).groupBy("conv_id", "turn", "at").agg(F.min("fault").alias("fault"))
+    owned_results = results.join(owned, ["conv_id", "id"], "left")
+    answers = owned_results.filter("turn > own_turn").groupBy("conv_id", "id").agg(F.min("turn").alias("answer"))
+    first = calls.join(owner, ["conv_id", "id"]).filter((F.col("turn") == F.col("own.turn")) & (F.col("at") == F.col("own.at"))).select("conv_id", "id", "turn", "depends_on")
+    first = cut(first.dropDuplicates(["conv_id", "id"]))
+    levels = _levels(first)
+    known = first.select("conv_id", F.col("id").alias("needs"))
+    unknown = first.select("conv_id", "id", F.explode("depends_on").alias("needs")).join(known, ["conv_id", "needs"], "left_anti")
+    lost = unknown.select("conv_id", "id").distinct().withColumn("lost", F.lit(True))
+    faults = _argument_faults(calls.select("conv_id", "turn", "at", "name", "args", "bad_args"), schemas).groupBy("conv_id", "turn", "at").agg(F.min("fault").alias("fault"))
     call_rows = (
-        calls.drop("args").join(owned, ["conv_id", "id"], "left").join(answers, ["conv_id", "id"], "left")
-        .join(levels, ["conv_id", "id"], "left").join(faults, ["conv_id", "turn", "at"], "left")
+        calls.drop("args", "bad_args").join(owned, ["conv_id", "id"], "left").join(answers, ["conv_id", "id"], "left")
+        .join(levels, ["conv_id", "id"], "left").join(lost, ["conv_id", "id"], "left").join(faults, ["conv_id", "turn", "at"], "left")
     )
     mine = (F.col("turn") == F.col("own_turn")) & (F.col("at") == F.col("own_at"))
     status = (
         F.when(F.isnotnull("id") & ~F.coalesce(mine, F.lit(False)), "duplicate_id").when(F.isnotnull("fault"), F.col("fault"))
-        .when(F.isnotnull("id") & F.isnull("level"), "cyclic").when(F.isnull("answer"), "unanswered").otherwise("ok")
+        .when(F.isnotnull("id") & F.isnull("level"), "cyclic").when(F.col("lost"), "unknown_dependency").when(F.isnull("answer"), "unanswered").otherwise("ok")
     )
+    own_call = F.coalesce(mine, F.lit(False))
     call_out = call_rows.select(
-        "conv_id", "turn", F.lit("call").alias("kind"), F.col("id").alias("call_id"), F.col("answer").alias("linked_turn"), status.alias("status"),
-        F.col("turn").alias("order_turn"), F.coalesce(F.col("level") * 2, F.lit(-1)).cast("long").alias("level"),
+        "conv_id", "turn", F.lit("call").alias("kind"), F.col("id").alias("call_id"), F.when(own_call, F.col("answer")).alias("linked_turn"), status.alias("status"),
+        F.coalesce(F.when(own_call, F.col("top")), F.col("turn")).alias("order_turn"),
+        F.when(own_call, F.coalesce(F.col("level") * 2, F.lit(-1))).otherwise(0).cast("long").alias("level"),
         F.concat(F.lit('{"role":'), _quoted(F.col("role")), F.lit(',"tool_call":'), "json", F.lit("}")).alias("message_json"),
     )
-    result_rows = results.join(owned, ["conv_id", "id"], "left").join(levels, ["conv_id", "id"], "left")
-    linked = F.isnotnull("own_turn")
+    result_rows = owned_results.join(levels, ["conv_id", "id"], "left")
+    linked = F.coalesce(F.col("turn") > F.col("own_turn"), F.lit(False))
     result_out = result_rows.select(
-        "conv_id", "turn", F.lit("result").alias("kind"), F.col("id").alias("call_id"), F.col("own_turn").alias("linked_turn"),
-        F.when(linked, "linked").otherwise("orphan").alias("status"), F.coalesce("own_turn", "turn").alias("order_turn"),
-        F.when(linked, F.coalesce(F.col("level") * 2 + 1, F.lit(0))).otherwise(F.lit(0)).cast("long").alias("level"),
+        "conv_id", "turn", F.lit("result").alias("kind"), F.col("id").alias("call_id"), F.when(linked, F.col("own_turn")).alias("linked_turn"),
+        F.when(linked, "linked").when(F.isnotnull("own_turn"), "early").otherwise("orphan").alias("status"),
+        F.when(linked, F.coalesce("top", "own_turn")).otherwise(F.col("turn")).alias("order_turn"),
+        F.when(linked, F.coalesce(F.col("level") * 2 + 1, F.lit(0))).otherwise(0).cast("long").alias("level"),
         F.concat(F.lit('{"role":'), _quoted(F.col("role")), F.lit(',"tool_result":'), "json", F.lit("}")).alias("message_json"),
     )
     return plain.unionByName(call_out).unionByName(result_out)

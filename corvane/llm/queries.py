@@ -161,15 +161,76 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+#: The schemas of the tools that ``tool_turns`` calls (name, param, type, required).
+TOOLS = [("search", "query", "string", True), ("search", "limit", "integer", False)]
+
+
+def tool_turns(conversations: DataFrame) -> DataFrame:
+    """The conversations as tool use: a user turn t makes call ``c<t>``, an assistant turn answers the call before it.
+
+    With n the length of a turn's text: calls depend on the user turn before (``c<t-2>``), every fifth (by n) on the one
+    after it instead; every fourth lacks its query, has a string for a limit, or names an unknown tool; every seventh
+    result names the call after it. Other turns stay as they are.
+    """
+    n, text = F.length(F.coalesce("text", F.lit(""))), F.coalesce("text", F.lit(""))
+    ident = lambda shift: F.concat(F.lit("c"), (F.col("turn") + shift).cast("string"))
+    kind = n % 4
+    limit = n % 10
+    arguments = (
+        F.when(kind == 1, F.to_json(F.struct(limit.alias("limit"))))
+        .when(kind == 2, F.to_json(F.struct(limit.cast("string").alias("limit"), text.alias("query"))))
+        .otherwise(F.to_json(F.struct(limit.alias("limit"), text.alias("query"))))
+    )
+    needs = F.when(n % 5 == 0, F.array(ident(2))).when(F.col("turn") >= 2, F.array(ident(-2))).otherwise(F.array().cast("array<string>"))
+    call = F.concat(
+        F.lit('{"tool_calls":[{"id":"'), ident(0), F.lit('","name":"'), F.when(kind == 3, "nobody").otherwise("search"), F.lit('","arguments":'), arguments,
+        F.lit(',"depends_on":'), F.to_json(needs), F.lit("}]}"),
+    )
+    result = F.to_json(F.struct(F.when(n % 7 == 0, ident(1)).otherwise(ident(-1)).alias("tool_call_id"), text.alias("content")))
+    return conversations.withColumn("text", F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(F.col("text")))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.format_turns(read_table(spark, sf_dir, "conversations"))
+    schemas = spark.createDataFrame(TOOLS, chat.SCHEMA_DDL)
+    return chat.format_turns(tool_turns(read_table(spark, sf_dir, "conversations")), schemas)
 
 
 OP10_SQL = """
+WITH RECURSIVE t AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS x, length(coalesce(text, '')) AS n FROM conversations
+), calls AS (
+  SELECT conv_id, turn, role, 'c' || turn AS id, CASE WHEN n % 5 = 0 THEN 'c' || (turn + 2) WHEN turn >= 2 THEN 'c' || (turn - 2) END AS needs,
+    CASE n % 4 WHEN 1 THEN 'missing_argument' WHEN 2 THEN 'wrong_type' WHEN 3 THEN 'unknown_tool' END AS fault,
+    '{"arguments":' || CASE n % 4 WHEN 1 THEN to_json({'limit': n % 10})::VARCHAR WHEN 2 THEN to_json({'limit': CAST(n % 10 AS VARCHAR), 'query': x})::VARCHAR
+      ELSE to_json({'limit': n % 10, 'query': x})::VARCHAR END || ',"depends_on":[' || coalesce('"' || needs || '"', '') || '],"id":"' || id || '","name":"' || CASE n % 4 WHEN 3 THEN 'nobody' ELSE 'search' END || '"}' AS json
+  FROM t WHERE role = 'user'
+), reach(conv_id, id, anc, d) AS (
+  SELECT conv_id, id, id, 0 FROM calls
+  UNION
+  SELECT r.conv_id, r.id, b.id, d + 1 FROM reach r JOIN calls a ON a.conv_id = r.conv_id AND a.id = r.anc JOIN calls b ON b.conv_id = a.conv_id AND b.id = a.needs WHERE d < 100
+), levels AS (
+  SELECT r.conv_id, r.id, max(d) AS level, max(c.turn) AS top FROM reach r JOIN calls c ON c.conv_id = r.conv_id AND c.id = r.anc GROUP BY ALL
+), results AS (
+  SELECT conv_id, turn, role, CASE WHEN n % 7 = 0 THEN 'c' || (turn + 1) ELSE 'c' || (turn - 1) END AS id, x FROM t WHERE role = 'assistant'
+), answers AS (
+  SELECT c.conv_id, c.id, min(r.turn) AS answer FROM calls c JOIN results r ON r.conv_id = c.conv_id AND r.id = c.id AND r.turn > c.turn GROUP BY ALL
+)
 SELECT conv_id, turn, 'message' AS kind, CAST(NULL AS VARCHAR) AS call_id, CAST(NULL AS BIGINT) AS linked_turn, 'message' AS status,
-  CAST(turn AS BIGINT) AS order_turn, CAST(0 AS BIGINT) AS level,
-  to_json({'content': coalesce(text, ''), 'role': coalesce(role, '')})::VARCHAR AS message_json
-FROM conversations
+  turn AS order_turn, CAST(0 AS BIGINT) AS level, to_json({'content': x, 'role': role})::VARCHAR AS message_json
+FROM t WHERE role NOT IN ('user', 'assistant')
+UNION ALL
+SELECT c.conv_id, c.turn, 'call', c.id, answer,
+  CASE WHEN fault IS NOT NULL THEN fault WHEN level >= 100 THEN 'cyclic' WHEN needs IS NOT NULL AND NOT EXISTS (SELECT 1 FROM calls o WHERE o.conv_id = c.conv_id AND o.id = c.needs) THEN 'unknown_dependency'
+    WHEN answer IS NULL THEN 'unanswered' ELSE 'ok' END,
+  CASE WHEN level >= 100 THEN c.turn ELSE top END, CASE WHEN level >= 100 THEN -1 ELSE 2 * level END, '{"role":' || to_json(role)::VARCHAR || ',"tool_call":' || json || '}'
+FROM calls c JOIN levels USING (conv_id, id) LEFT JOIN answers USING (conv_id, id)
+UNION ALL
+SELECT r.conv_id, r.turn, 'result', r.id, CASE WHEN r.turn > c.turn THEN c.turn END,
+  CASE WHEN c.turn IS NULL THEN 'orphan' WHEN r.turn > c.turn THEN 'linked' ELSE 'early' END,
+  CASE WHEN r.turn > c.turn THEN CASE WHEN level >= 100 THEN c.turn ELSE top END ELSE r.turn END,
+  CASE WHEN r.turn > c.turn THEN CASE WHEN level >= 100 THEN 0 ELSE 2 * level + 1 END ELSE 0 END,
+  '{"role":' || to_json(r.role)::VARCHAR || ',"tool_result":' || to_json({'content': x, 'tool_call_id': r.id})::VARCHAR || '}'
+FROM results r LEFT JOIN calls c ON c.conv_id = r.conv_id AND c.id = r.id LEFT JOIN levels l ON l.conv_id = r.conv_id AND l.id = r.id
 """
 
 
