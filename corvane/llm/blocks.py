@@ -84,25 +84,25 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """An array's bytes, compressed; counts are mostly small."""
-    raw = np.ascontiguousarray(values).tobytes()
+    """An array's bytes, compressed byte plane by byte plane: counts are mostly small, so the upper planes are empty."""
+    values = np.ascontiguousarray(values)
+    raw = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
     return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
 
 
 def unpack(data: bytes, dtype) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size else b"", dtype)
+    size, width = int.from_bytes(data[:8], "little"), np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size else b"", np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(dtype).ravel()
 
 
 def pack_sorted(hashes: np.ndarray) -> bytes:
-    """Sorted hashes as differences, byte plane by byte plane: the leading planes are empty and compress away."""
-    steps = np.diff(hashes, prepend=np.uint64(0))
-    return pack(steps.view(np.uint8).reshape(-1, 8).T)
+    """Sorted hashes as differences."""
+    return pack(np.diff(hashes, prepend=np.uint64(0)))
 
 
 def unpack_sorted(data: bytes) -> np.ndarray:
-    planes = unpack(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
 
 
 def _pack_any(values: np.ndarray) -> bytes:
