@@ -25,15 +25,19 @@ def ascii_lower(col):
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where none is set (tests)."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if set_dir:
-        return set_dir
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    spark.sparkContext.setCheckpointDir("/tmp/checkpoints/corvane")
-    return "/tmp/checkpoints/corvane"
+    """The shared folder named by ``spark.checkpoint.dir``, as the context's checkpoint folder too.
+
+    A local folder serves only where none is set and the master is local (tests); else that is an error.
+    """
+    context = spark.sparkContext
+    wanted, current = spark.conf.get("spark.checkpoint.dir", None), context.getCheckpointDir()
+    if wanted is None and current is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        wanted = "/tmp/checkpoints/corvane"
+    if current is None:
+        context.setCheckpointDir(wanted)
+    return wanted or current
 
 
 def cut(df: DataFrame) -> DataFrame:
