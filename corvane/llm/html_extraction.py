@@ -7,7 +7,8 @@ yield every node's content marginal exactly; text counts as content where the ma
 Messages of all pages of a batch run together, level by level.
 
 Weights and potentials are learned by maximum likelihood (gradients from the same messages) from labelled pages
-that ``html_pages`` lays out at random: ``PAGES`` pages, a documented and fixed bound.
+that ``html_pages`` lays out at random: ``PAGES`` pages, a documented and fixed bound. Fitting takes some 20 seconds on the
+driver, once a process.
 
 Scripts, styles, comments and other text that no page shows never become nodes. Character references are decoded;
 white space becomes one space; blocks are joined by one space in page order; nothing else is dropped.
@@ -52,16 +53,18 @@ CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl
 CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
 
 #: Words in class, id or role, by what they hint at. Short ones must stand alone; the rest may be parts of words.
+#: Weak ones stand on articles' own blocks as well (top-story, bottom-line, more-info), so they never make an edge's kind.
 HINTS = {
     "menu": "nav menu breadcrumb toolbar tabs pagination pager sitemap skip navigation topbar",
-    "head": "header masthead banner logo branding hero top",
-    "foot": "footer copyright colophon bottom legal imprint contentinfo",
-    "side": "sidebar aside widget related recommend popular trending rail complementary more outbrain taboola teaser",
+    "head": "header masthead banner logo branding",
+    "foot": "footer copyright colophon legal imprint contentinfo",
+    "side": "sidebar aside widget related recommend rail complementary outbrain taboola teaser",
     "ad": "ad ads adv advert advertisement sponsor sponsored promo promoted promotion adsense adsby adslot adunit commercial dfp partner affiliate",
-    "notice": "notice cookie cookies consent gdpr alert alertdialog popup modal overlay toast newsletter subscribe paywall disclaimer warning notification message",
-    "talk": "comment comments reply replies discussion disqus respond thread feedback reviews",
+    "notice": "notice cookie cookies consent gdpr alertdialog popup modal overlay toast newsletter subscribe paywall disclaimer notification",
+    "talk": "comment comments reply replies discussion disqus respond",
     "form": "form search login signup signin register contact poll survey captcha button btn",
-    "share": "share sharing social follow meta byline author tags tag tools print rating caption credit",
+    "share": "share sharing social follow byline author",
+    "weak": "top bottom hero popular trending more alert warning message reviews feedback thread meta tags tag tools print rating caption credit",
     "good": "article content post entry story main body text prose page news blog paragraph",
 }
 SHORT = frozenset("nav top more ad ads adv dfp form btn meta tag tags body text page main post talk tools print tabs pager logo skip hero side rail".split())
@@ -72,7 +75,7 @@ BAD_TAGS = frozenset("nav header footer aside form fieldset button select textar
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tr td th figure figcaption".split())
 NAMES = [f"tag {t}" for t in TAGS] + [f"hint {h}" for h in HINTS] + ["hidden"]
 NAMES += [f"own {k}" for k in range(6)] + [f"links {k}" for k in range(4)] + [f"all {k}" for k in range(6)] + [f"all links {k}" for k in range(4)]
-NAMES += [f"sentences {k}" for k in range(3)] + [f"paragraphs {k}" for k in range(4)] + ["copyright", "bias", "alone", "under bad", "under good", "clean good", "own bad"]
+NAMES += [f"sentences {k}" for k in range(3)] + [f"paragraphs {k}" for k in range(4)] + ["copyright", "bias", "alone", "plain", "under bad", "under good", "clean good", "own bad"]
 AT = {name: i for i, name in enumerate(NAMES)}
 KINDS = 16  # of edges: 4 kinds of parent (bad hint or tag, good hint or tag, text element, other) by 4 kinds of child
 
@@ -115,6 +118,8 @@ class Page:
             if m[2] or m[5]:  # an end tag
                 links -= self._close(name, stack)
                 links = max(links, 0)
+                if name == "p":  # even without a start tag it stands for a paragraph
+                    self.pieces.append((-1, ""))
                 continue
             if name in VOID:
                 if name in ("br", "hr"):
@@ -129,7 +134,7 @@ class Page:
                     links -= self._imply(*CLOSES[name], stack)
                 links = max(links, 0)
             node = stack[-1][1]
-            if not inline or (attributes and any(h not in ("good", "share") for h in _hints(attributes)[0])):
+            if not inline or (attributes and any(h not in ("good", "share", "weak") for h in _hints(attributes)[0])):
                 if name == "html" and node == 0:
                     self.attributes[0] = attributes
                 else:
@@ -228,7 +233,7 @@ class Forest:
                 feature.append(AT["hidden"])
                 node.append(i)
             good = "good" in hints or tag in ("article", "main")
-            bad = hidden or tag in BAD_TAGS or any(h != "good" for h in hints)
+            bad = hidden or tag in BAD_TAGS or any(h not in ("good", "weak") for h in hints)
             kind[i] = 0 if bad else 1 if good else 2 if tag in TEXT_TAGS else 3
         self.kind = np.where(self.parent >= 0, 4 * kind[self.parent] + kind, kind)
         bad, good = kind == 0, kind == 1
@@ -238,6 +243,8 @@ class Forest:
             under_bad[level] = under_bad[up] | bad[up]
             under_good[level] = (under_good[up] | good[up]) & ~bad[up]
         alone = np.repeat(np.array(sizes) == 1, sizes)
+        marked = (good | bad) & np.fromiter((t != "head" for t in tags), bool, n)
+        plain = np.repeat(np.add.reduceat(marked, self.first[:-1]) == 0, sizes) if n else marked  # a page that says nothing of its parts
         everywhere = np.arange(n)
         some = np.flatnonzero(copied)
         parts = [
@@ -245,7 +252,7 @@ class Forest:
             (everywhere, AT["all links 0"] + share(all_links, every)), (everywhere, AT["sentences 0"] + np.minimum(marks, 2)),
             (everywhere, AT["paragraphs 0"] + np.minimum(paragraphs, 3)), (some, np.full(len(some), AT["copyright"])), (everywhere, np.full(n, AT["bias"])),
         ]
-        for name, flag in (("alone", alone), ("under bad", under_bad), ("under good", under_good & ~under_bad), ("clean good", good & ~under_bad), ("own bad", bad)):
+        for name, flag in (("alone", alone), ("plain", plain), ("under bad", under_bad), ("under good", under_good & ~under_bad), ("clean good", good & ~under_bad), ("own bad", bad)):
             at = np.flatnonzero(flag)
             parts.append((at, np.full(len(at), AT[name])))
         self.node = np.concatenate([np.array(node, np.int64), *[a for a, _ in parts]])

@@ -106,19 +106,29 @@ class Writer:
         return self.element(self.one("div", "ul", "p"), self.links(2, 5), 0, self.one("share", "social", "share-buttons", "social-links", "post-tags", "follow-us"))
 
     def unseen(self) -> str:
-        return self.one('<script>var t="</p>";</script>', "<style>p{margin:0}</style>", "<!-- x -->", "<noscript>no</noscript>")
+        return self.one('<script>if (a < b) s = "<div>";</script>', "<style>.x > p { color: red }</style>", "<!-- x -->", "<noscript>no</noscript>")
 
     # the article
 
+    def named(self) -> str:
+        """A class for one of the article's own blocks: mostly none, or a name that says nothing, or one that misleads."""
+        r = self.rng
+        if r.random() < 0.8:
+            return ""
+        plain = "".join(self.words(1, 1))
+        loose = self.one("top", "bottom", "more", "popular", "alert", "warning", "message", "reviews", "tag", "print", "rating", "caption", "credit", "trending", "meta", "hero")
+        other = self.one("line", "info", "level", "item", "block", "row", plain)
+        return self.one(plain, f"{plain}-{other}", f"{loose}-{other}", f"{other}-{loose}", loose)
+
     def block(self) -> str:
         r = self.rng
         kind = r.choices(["p", "h", "list", "quote", "pre", "table", "figure", "div", "section"], [26, 5, 3, 2, 1, 1, 1, 2, 1])[0]
         if kind == "p":
-            return self.element("p", self.prose(*r.choice([(1, 12), (10, 60), (30, 150), (60, 300)])), 1)
+            return self.element("p", self.prose(*r.choice([(1, 12), (10, 60), (30, 150), (60, 300)])), 1, self.named())
         if kind == "h":
-            return self.element(self.one("h2", "h3", "h4"), " ".join(self.words(1, 8)), 1)
+            return self.element(self.one("h2", "h3", "h4"), " ".join(self.words(1, 8)), 1, self.named())
         if kind == "list":
-            return self.element(self.one("ul", "ol"), "".join(self.element("li", self.prose(2, 25), 1) for _ in range(r.randint(2, 6))), 1)
+            return self.element(self.one("ul", "ol"), "".join(self.element("li", self.prose(2, 25), 1) for _ in range(r.randint(2, 6))), 1, self.named())
         if kind == "quote":
             return self.element("blockquote", self.one(self.prose(5, 50), self.element("p", self.prose(5, 50), 1)), 1)
         if kind == "pre":
@@ -129,7 +139,7 @@ class Writer:
             return self.element("figure", '<img src="x">' + self.element("figcaption", self.prose(2, 15), 1), 1)
         if kind == "section":
             return self.element("section", "".join(self.block() for _ in range(r.randint(1, 3))), 1)
-        return self.element("div", self.prose(8, 100), 1, self.one("", "", "paragraph", "text", "content"))
+        return self.element("div", self.prose(8, 100), 1, self.one("", "", "paragraph", "text", "content", self.named()))
 
     def article(self) -> str:
         r = self.rng
@@ -156,8 +166,10 @@ class Writer:
 
     def page(self) -> str:
         r = self.rng
-        if r.random() < 0.03:  # hardly a page: bare text, or a few blocks
-            return self.one(f'<html data-content="1">{self.prose(1, 80)}</html>', "".join(self.block() for _ in range(r.randint(1, 4))))
+        if r.random() < 0.08:  # hardly a page: bare text, a few blocks, or both
+            bare = lambda: self.one(self.prose(1, 80), " ".join(self.words(1, 8)), " &lt; ".join(self.words(2, 4)))
+            few = [self.block() if r.random() < 0.5 else self.element(self.one("p", "div"), " ".join(self.words(1, 4)), 1) for _ in range(r.randint(1, 4))]
+            return self.one(f'<html data-content="1">{bare()}</html>', "".join(few), f'<html data-content="1">{self.one("", bare())}{"".join(few)}{bare()}')
         above = [f() for f in (self.notice, self.header, self.menu, self.advert, self.form) if r.random() < 0.4]
         below = [f() for f in (self.comments, self.sidebar, self.sharing, self.advert, self.form, self.notice) if r.random() < 0.3]
         r.shuffle(above)
