@@ -61,7 +61,7 @@ def repeated_words(words, n):
     return {j for i in range(len(words) - n + 1) if count[tuple(words[i : i + n])] > 1 for j in range(i, i + n)}
 
 
-def quality(text, limits, min_words=50, symbols=0.2, lines=0.3):
+def quality(text, limits, min_words=50, symbols=0.2, lines=0.15):
     text = text or ""
     w = split(text)
     seen, dup, dup_chars, chars = set(), 0, 0, 0
