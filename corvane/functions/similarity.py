@@ -6,8 +6,9 @@ subsequence; a batch's repeated pairs are scored once. All lie in [0, 1]; a side
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,6 +31,47 @@ def common_subsequence(a: str, b: str) -> int:
     return len(a) - free.bit_count()
 
 
+WORD = 64  # characters of the shorter text that one step takes at once
+CHUNK = 2048  # pairs worked on together
+
+
+def _code_points(texts: Sequence[str], width: int, filler: int) -> np.ndarray:
+    """One row of code points per text, filled up with a value that no character has."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    out = np.full((len(texts), width), filler, np.uint32)
+    out[np.arange(width) < sizes[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return out
+
+
+def common_subsequences(pairs: Sequence[tuple[str, str]]) -> np.ndarray:
+    """``common_subsequence`` of many pairs: the same steps, for all pairs of a chunk at once."""
+    out = np.zeros(len(pairs), np.int64)
+    sides = [(a, b) if len(a) <= len(b) else (b, a) for a, b in pairs]
+    fits = [i for i, (a, _) in enumerate(sides) if 0 < len(a) <= WORD]
+    fits.sort(key=lambda i: len(sides[i][1]))  # texts of like lengths share a chunk
+    for i, (a, b) in enumerate(sides):
+        if len(a) > WORD:
+            out[i] = common_subsequence(a, b)
+    for start in range(0, len(fits), CHUNK):
+        at = fits[start : start + CHUNK]
+        short, long = [sides[i][0] for i in at], [sides[i][1] for i in at]
+        left, right = _code_points(short, WORD, 0xFFFFFFFF), _code_points(long, len(long[-1]), 0xFFFFFFFE)
+        sizes = np.fromiter(map(len, short), np.uint64, len(at))
+        full = np.where(sizes < WORD, (np.uint64(1) << np.minimum(sizes, np.uint64(WORD - 1))) - np.uint64(1), np.uint64(0xFFFFFFFFFFFFFFFF))
+        free = full.copy()
+        for c in right.T:
+            met = free & np.packbits(left == c[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+            free = ((free + met) | (free - met)) & full
+        out[at] = sizes.astype(np.int64) - np.bitwise_count(free)
+    return out
+
+
+def indel_ratios(pairs: Sequence[tuple[str, str]]) -> np.ndarray:
+    """``indel_ratio`` of many pairs."""
+    total = np.fromiter((len(a) + len(b) if a and b else 0 for a, b in pairs), np.int64, len(pairs))
+    return np.where(total > 0, 2.0 * common_subsequences(pairs) / np.maximum(total, 1), 0.0)
+
+
 def indel_ratio(a: str, b: str) -> float:
     """Twice the common subsequence over both lengths."""
     total = len(a) + len(b)
@@ -40,19 +82,28 @@ def indel_ratio(a: str, b: str) -> float:
 
 def set_ratio(a: str, b: str) -> float:
     """Similarity of the word sets: of the shared words with each side's, and of what each has alone."""
-    left, right = set(a.split()), set(b.split())
-    if not left or not right:
-        return 0.0
-    shared, only_a, only_b = left & right, " ".join(sorted(left - right)), " ".join(sorted(right - left))
-    if shared and (not only_a or not only_b):
-        return 1.0
-    common, gap = len(" ".join(shared)), bool(shared)
-    whole_a, whole_b = common + gap + len(only_a), common + gap + len(only_b)
-    distance = len(only_a) + len(only_b) - 2 * common_subsequence(only_a, only_b)
-    best = 1.0 - distance / (whole_a + whole_b)
-    if shared:
-        best = max(best, 1.0 - (gap + len(only_a)) / (common + whole_a), 1.0 - (gap + len(only_b)) / (common + whole_b))
-    return best
+    return float(set_ratios([(a, b)])[0])
+
+
+def set_ratios(pairs: Sequence[tuple[str, str]]) -> np.ndarray:
+    """``set_ratio`` of many pairs."""
+    sets = [(set(a.split()), set(b.split())) for a, b in pairs]
+    alone = [(" ".join(sorted(x - y)), " ".join(sorted(y - x))) for x, y in sets]
+    out = np.zeros(len(pairs))
+    for i, ((x, y), (only_a, only_b), same) in enumerate(zip(sets, alone, common_subsequences(alone).tolist(), strict=True)):
+        if not x or not y:
+            continue
+        shared = x & y
+        if shared and (not only_a or not only_b):
+            out[i] = 1.0
+            continue
+        common, gap = len(" ".join(shared)), bool(shared)
+        whole_a, whole_b = common + gap + len(only_a), common + gap + len(only_b)
+        best = 1.0 - (len(only_a) + len(only_b) - 2 * same) / (whole_a + whole_b)
+        if shared:
+            best = max(best, 1.0 - (gap + len(only_a)) / (common + whole_a), 1.0 - (gap + len(only_b)) / (common + whole_b))
+        out[i] = best
+    return out
 
 
 def sort_ratio(a: str, b: str) -> float:
@@ -95,36 +146,41 @@ def weighted_ratio(a: str, b: str) -> float:
 # ---- as columns
 
 
-def _udf(score: Callable[[str, str], float]):
+def distinct_pairs(a: pd.Series, b: pd.Series) -> tuple[list[tuple[str, str]], np.ndarray]:
+    """The distinct pairs of two columns, nulls being empty, and each row's place among them."""
+    number: dict[tuple[str, str], int] = {}
+    at = [number.setdefault((x or "", y or ""), len(number)) for x, y in zip(a, b, strict=True)]
+    return list(number), np.array(at, np.int64)
+
+
+def _udf(score: Callable[[Sequence[tuple[str, str]]], np.ndarray]):
     @F.pandas_udf("double")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for a, b in batches:
-            known: dict[tuple[str, str], float] = {}
-            out = []
-            for pair in zip(a, b, strict=True):
-                value = known.get(pair)
-                if value is None:
-                    value = known[pair] = score(pair[0] or "", pair[1] or "")
-                out.append(value)
-            yield pd.Series(out, dtype="float64")
+            pairs, at = distinct_pairs(a, b)
+            yield pd.Series(np.asarray(score(pairs), "float64")[at] if pairs else [], dtype="float64")
 
     return run
 
 
+def _each(score: Callable[[str, str], float]):
+    return lambda pairs: [score(a, b) for a, b in pairs]
+
+
 def ratio(a: Column | str, b: Column | str) -> Column:
-    return _udf(indel_ratio)(text_of(a), text_of(b))
+    return _udf(indel_ratios)(text_of(a), text_of(b))
 
 
 def token_set_ratio(a: Column | str, b: Column | str) -> Column:
-    return _udf(set_ratio)(text_of(a), text_of(b))
+    return _udf(set_ratios)(text_of(a), text_of(b))
 
 
 def token_sort_ratio(a: Column | str, b: Column | str) -> Column:
-    return _udf(sort_ratio)(text_of(a), text_of(b))
+    return _udf(_each(sort_ratio))(text_of(a), text_of(b))
 
 
 def w_ratio(a: Column | str, b: Column | str) -> Column:
-    return _udf(weighted_ratio)(text_of(a), text_of(b))
+    return _udf(_each(weighted_ratio))(text_of(a), text_of(b))
 
 
 def ratio_expression(a: Column | str, b: Column | str) -> Column:

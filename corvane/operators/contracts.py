@@ -107,6 +107,13 @@ def validate_scored_pairs(scored: DataFrame) -> None:
     )
 
 
+def checked_scores(scored: DataFrame) -> DataFrame:
+    """``scored`` as it is, failing where a score is no number in [0, 1]: checked as the rows pass, without a pass of its own."""
+    s = F.col("score").cast("double")
+    wrong = F.isnull(s) | F.isnan(s) | (s < 0) | (s > 1)
+    return scored.withColumn("score", F.when(wrong, F.raise_error(F.lit("a score outside [0, 1]")).cast("double")).otherwise(F.col("score")))
+
+
 def validate_labels(df: DataFrame, label: str = "label") -> dict:
     """Labels 0 and 1, both present; returns their counts."""
     require_columns(df, [label], "training rows")

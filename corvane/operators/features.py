@@ -36,19 +36,11 @@ _EDIT = T.StructType([T.StructField(c, T.DoubleType()) for c in ("name_ratio", "
 
 @F.pandas_udf(_EDIT)
 def _edit_measures(name1: pd.Series, name2: pd.Series, address1: pd.Series, address2: pd.Series) -> pd.DataFrame:
-    known: dict = {}
-
-    def both(pair):
-        value = known.get(pair)
-        if value is None:
-            value = known[pair] = (similarity.indel_ratio(*pair), similarity.set_ratio(*pair))
-        return value
-
-    names = [both(p) for p in zip(name1, name2, strict=True)]
-    addresses = [both(p) for p in zip(address1, address2, strict=True)]
-    return pd.DataFrame(
-        [(*n, *a) for n, a in zip(names, addresses, strict=True)], columns=["name_ratio", "name_set", "address_ratio", "address_set"], dtype="float64"
-    )
+    out = []
+    for a, b in ((name1, name2), (address1, address2)):
+        pairs, at = similarity.distinct_pairs(a, b)
+        out += [similarity.indel_ratios(pairs)[at], similarity.set_ratios(pairs)[at]]
+    return pd.DataFrame(dict(zip(("name_ratio", "name_set", "address_ratio", "address_set"), out, strict=True)), dtype="float64")
 
 
 def _flag(condition: Column) -> Column:

@@ -135,3 +135,31 @@ def test_other_measures(spark):
     assert column(df, similarity.token_sort_ratio("a", "b"))[1] == 0.0
     assert similarity.weighted_ratio("alpha beta", "beta alpha") == pytest.approx(0.95)
     assert similarity.partial_ratio("beta", "alpha beta gamma") == 1.0
+
+
+def test_batched_edit_measures_equal_single_ones():
+    import random
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdé \U0001f600", k=rng.choice([0, 1, 5, 20, 63, 64, 65, 130])))
+    pairs = [(word(), word()) for _ in range(400)] + [("a b", "a b"), ("", "x"), ("x" * 64, "x" * 64)]
+    assert similarity.common_subsequences(pairs).tolist() == [similarity.common_subsequence(a, b) for a, b in pairs]
+    assert similarity.indel_ratios(pairs).tolist() == [similarity.indel_ratio(a, b) for a, b in pairs]
+    assert similarity.indel_ratios([]).tolist() == []
+
+
+def test_common_subsequence_equals_the_table():
+    import random
+
+    def table(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    rng = random.Random(4)
+    pairs = [("".join(rng.choices("abc", k=rng.randint(0, 70))), "".join(rng.choices("abc", k=rng.randint(0, 70)))) for _ in range(60)]
+    assert similarity.common_subsequences(pairs).tolist() == [table(a, b) for a, b in pairs]
