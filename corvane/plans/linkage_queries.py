@@ -5,13 +5,15 @@ Each query applies one operator of the library to whole tables. Ratios are round
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions import similarity, text
-from corvane.operators import blocking, decisions, evaluation, matcher, recovery
+from corvane.operators import blocking, contracts, decisions, evaluation, matcher, recovery
 from corvane.operators.blocking import BLOCKER_BITS, EXACT_BLOCKERS, BlockingConfig
 from corvane.operators.contracts import CANDIDATE_KEY
 from corvane.operators.features import FEATURE_COLUMNS, FeatureEngineer
@@ -662,6 +664,178 @@ def score_description(spark, sf):
     return evaluation.describe(_scored(spark, sf), ["score"])
 
 
+# ---- edit measures, over the same candidates
+
+_EDIT_STEPS = """, texts AS (
+  SELECT DISTINCT a, b FROM (SELECT a.n AS a, b.n AS b FROM cand JOIN r a ON a.entity_id = source1_entity_id JOIN r b ON b.entity_id = candidate_entity_id
+    UNION ALL SELECT a.a, b.a FROM cand JOIN r a ON a.entity_id = source1_entity_id JOIN r b ON b.entity_id = candidate_entity_id)
+), lcs(a, b, j, row) AS (
+  SELECT a, b, 0, list_transform(range(0, length(b) + 1), lambda k: 0) FROM texts WHERE a <> '' AND b <> ''
+  UNION ALL
+  SELECT a, b, j + 1, list_reduce(list_prepend([0], list_transform(range(1, length(b) + 1), lambda k: [k])), lambda done, k: list_append(done, CAST(
+    CASE WHEN substr(a, j + 1, 1) = substr(b, CAST(k[1] AS INTEGER), 1) THEN row[k[1]] + 1 ELSE greatest(row[k[1] + 1], done[k[1]]) END AS BIGINT)))
+  FROM lcs WHERE j < length(a)
+), ratios AS (
+  SELECT a, b, 2.0 * row[length(b) + 1] / (length(a) + length(b)) AS ratio FROM lcs WHERE j = length(a)
+)"""
+
+
+@_query(
+    "edit_ratios",
+    f"""{_CAND.replace("WITH ", "WITH RECURSIVE ", 1)}, r AS (SELECT entity_id, {_strip("business_name")} AS n, {_strip("business_address")} AS a FROM records){_EDIT_STEPS}
+SELECT {_KEYS}, coalesce(round(x.ratio, 6), 0.0) AS name_ratio, coalesce(round(y.ratio, 6), 0.0) AS address_ratio
+FROM cand JOIN r a ON a.entity_id = source1_entity_id JOIN r b ON b.entity_id = candidate_entity_id LEFT JOIN ratios x ON x.a = a.n AND x.b = b.n LEFT JOIN ratios y ON y.a = a.a AND y.b = b.a""",
+)
+def edit_ratios(spark, sf):
+    return _rounded(features(spark, sf).select(*CANDIDATE_KEY, "name_ratio", "address_ratio"))
+
+
+@_query(
+    "word_measures",
+    f"""{_CAND}, r AS (SELECT entity_id, {_strip("business_name")} AS n, {_strip("business_address")} AS a FROM records), w AS (
+  SELECT {_KEYS}, {_set("a.n")} AS x, {_set("b.n")} AS y FROM cand JOIN r a ON a.entity_id = source1_entity_id JOIN r b ON b.entity_id = candidate_entity_id
+), m AS (SELECT *, len(list_intersect(x, y)) AS k FROM w)
+SELECT {_KEYS}, k AS overlap, CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0.0 ELSE round(k::DOUBLE / least(len(x), len(y)), 6) END AS containment FROM m""",
+)
+def word_measures(spark, sf):
+    _, (s1, s2, s3) = _sources(spark, sf)
+    names = lambda df, key: df.select(F.col("entity_id").alias(key), text.strip("business_name").alias(f"n_{key}"))
+    left, right = CANDIDATE_KEY[:2]
+    met = _candidates(spark, sf).join(names(s1, left), left).join(names(s2.unionByName(s3), right), right)
+    a, b = F.col(f"n_{left}"), F.col(f"n_{right}")
+    return _rounded(met.select(*CANDIDATE_KEY, similarity.token_overlap(a, b).alias("overlap"), similarity.token_containment(a, b).alias("containment")))
+
+
+@_query("top_candidates", f"{_CAND}{_SCORED} SELECT {_KEYS}, score FROM scored QUALIFY row_number() OVER (PARTITION BY source1_entity_id ORDER BY score DESC, candidate_entity_id) <= 3")
+def top_candidates(spark, sf):
+    return decisions.top_per_entity(_scored(spark, sf), 3)
+
+
+@_query("pairs_without_repeats", f"{_CAND} SELECT {_KEYS}, num_blockers FROM cand")
+def pairs_without_repeats(spark, sf):
+    pairs = _candidates(spark, sf).select(*CANDIDATE_KEY, "num_blockers")
+    return decisions.drop_duplicate_pairs(pairs.unionByName(pairs))
+
+
+# ---- files: written, then read again
+
+_PART_SOURCES = adapters.PARTS.format(text="VARCHAR")
+
+
+def _folder(spark: SparkSession) -> str:
+    """A fresh folder where all executors can write."""
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints/corvane'}/tsv-{uuid.uuid4().hex}"
+
+
+def _written_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    folder = _folder(spark)
+    for i, df in enumerate(adapters.three_sources(adapters.part_records(spark, sf)), 1):
+        tsv.write_tsv(df, f"{folder}/train/train_source{i}.tsv")
+    return tsv.load_training_sources(spark, folder)
+
+
+@_query("source_files", f"SELECT src AS source, entity_id, business_name, business_address, country FROM ({_PART_SOURCES})")
+def source_files(spark, sf):
+    read = [df.select(F.lit(f"S{i}").alias("source"), "*") for i, df in enumerate(_written_sources(spark, sf), 1)]
+    return reduce(DataFrame.unionByName, read)
+
+
+@_query("first_records", f"SELECT entity_id, business_name, business_address, country FROM ({_PART_SOURCES}) WHERE src = 'S2' ORDER BY entity_id LIMIT 50")
+def first_records(spark, sf):
+    return tsv.head_rows(adapters.three_sources(adapters.part_records(spark, sf))[1], 50)
+
+
+@_query(
+    "candidate_files",
+    f"WITH {_candidate_sql(EXACT_BLOCKERS, PART_CAP, True)} SELECT {_KEYS}, blocker_sources, num_blockers FROM cand",
+)
+def candidate_files(spark, sf):
+    path = f"{_folder(spark)}/candidate_pairs.tsv"
+    tsv.write_tsv(candidates_capped_parts(spark, sf), path)
+    return tsv.load_candidate_pairs(spark, path)
+
+
+#: Lines of a ground-truth file: ids with blanks around, empties and repeats; every third record has none.
+_TRUTH_LINES = """SELECT 'S1-' || CAST(p_partkey AS {text}) AS source1_entity_id, CASE WHEN p_partkey % 9 = 0 THEN '' ELSE
+  ' S2-' || CAST(p_partkey + 1 AS {text}) || ' ,,S3-' || CAST(p_partkey + 2 AS {text}) || ',S2-' || CAST(p_partkey + 1 AS {text}) END AS matched_entity_ids FROM part WHERE p_partkey % 3 = 0"""
+
+
+@_query(
+    "parsed_truth",
+    f"""WITH t AS ({_TRUTH_LINES.format(text="VARCHAR")}) SELECT DISTINCT source1_entity_id, trim(m) AS matched_id FROM (SELECT source1_entity_id, unnest(string_split(matched_entity_ids, ',')) AS m FROM t) WHERE trim(m) <> ''
+UNION ALL SELECT source1_entity_id, '' FROM t""",
+)
+def parsed_truth(spark, sf):
+    """The pairs of a written file, and its entities with an empty id."""
+    path = f"{_folder(spark)}/truth.tsv"
+    df = spark.read.parquet(f"{sf}/part.parquet")
+    tsv.write_tsv(spark.sql(_TRUTH_LINES.format(text="string").replace("FROM part", "FROM {df}"), df=df), path, single_file=True)
+    entities, pairs = tsv.parse_ground_truth(spark, path)
+    return pairs.unionByName(entities.withColumn("matched_id", F.lit("")))
+
+
+@_query(
+    "exploded_truth",
+    f"""SELECT DISTINCT source1_entity_id, trim(m) AS candidate_entity_id, left(trim(m), 2) AS candidate_source
+FROM (SELECT source1_entity_id, unnest(string_split(matched_entity_ids, ',')) AS m FROM ({_TRUTH_LINES.format(text="VARCHAR")})) WHERE trim(m) <> ''""",
+)
+def exploded_truth(spark, sf):
+    df = spark.read.parquet(f"{sf}/part.parquet")
+    return tsv.explode_ground_truth(spark.sql(_TRUTH_LINES.format(text="string").replace("FROM part", "FROM {df}"), df=df))
+
+
+# ---- what the checks say of broken tables
+
+
+def _said(check: Callable, *args) -> str:
+    try:
+        check(*args)
+    except ValueError as fault:
+        return str(fault)
+    return ""
+
+
+@_query(
+    "contract_faults",
+    """WITH o AS (SELECT *, o_orderkey % 10 AS k FROM orders)
+SELECT 'a sound source' AS name, '' AS fault
+UNION ALL SELECT 'a source with blank ids', 'source: ' || (SELECT count(*) FROM part WHERE p_partkey % 7 = 0) || ' rows with a blank id'
+UNION ALL SELECT 'a source with repeated ids', 'source: [''entity_id''] repeat'
+UNION ALL SELECT 'a source without countries', 'source lacks the columns [''country'']'
+UNION ALL SELECT 'scores out of range', 'scored pairs: ' || (SELECT count(*) FROM part WHERE p_partkey % 11 = 0) || ' rows with a score outside [0, 1]'
+UNION ALL SELECT 'sound scores', ''
+UNION ALL SELECT 'candidates of an unknown source', 'candidate pairs: ' || (SELECT count(*) FROM part WHERE p_partkey % 5 = 0) || ' rows with an unknown source, ' || (SELECT count(*) FROM part WHERE p_partkey % 13 = 0) || ' rows with no blocker'
+UNION ALL SELECT 'ids that no source has', 'candidate pairs: ids that source 2 lacks'
+UNION ALL SELECT 'labels of one kind', 'training rows: both labels are needed'
+UNION ALL SELECT 'other labels', 'training rows: ' || (SELECT count(*) FROM part WHERE p_partkey % 3 = 2) || ' rows with a label other than 0 and 1'
+UNION ALL SELECT 'features that are no numbers', 'features: ' || (SELECT count(*) FROM part WHERE p_partkey % 17 = 0) || ' rows with a feature that is no number'""",
+)
+def contract_faults(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("k"))
+    every = lambda n: F.col("k") % n == 0
+    ident = lambda s: F.concat(F.lit(f"{s}-"), F.col("k").cast("string"))
+    source = part.select(ident("S1").alias("entity_id"), F.lit("n").alias("business_name"), F.lit("a").alias("business_address"), F.lit("c").alias("country"), "k")
+    pairs = part.select(ident("S1").alias("source1_entity_id"), ident("S2").alias("candidate_entity_id"), F.lit("S2").alias("candidate_source"), F.lit("name_exact").alias("blocker_sources"), F.lit(1).alias("num_blockers"), "k")
+    scored = pairs.withColumn("score", F.lit(0.5))
+    second = source.withColumn("entity_id", ident("S2"))
+    said = {
+        "a sound source": _said(contracts.validate_source, source),
+        "a source with blank ids": _said(contracts.validate_source, source.withColumn("entity_id", F.when(every(7), " ").otherwise(F.col("entity_id")))),
+        "a source with repeated ids": _said(contracts.validate_source, source.unionByName(source)),
+        "a source without countries": _said(contracts.validate_source, source.drop("country")),
+        "scores out of range": _said(contracts.validate_scored_pairs, scored.withColumn("score", F.when(every(11), 1.5).otherwise(0.5))),
+        "sound scores": _said(contracts.validate_scored_pairs, scored),
+        "candidates of an unknown source": _said(
+            contracts.validate_candidate_pairs, pairs.withColumn("candidate_source", F.when(every(5), "S9").otherwise("S2")).withColumn("num_blockers", F.when(every(13), 0).otherwise(1))
+        ),
+        "ids that no source has": _said(contracts.validate_candidate_ids, pairs, source, second.filter(~every(2)), second),
+        "labels of one kind": _said(contracts.validate_labels, part.select(F.lit(1).alias("label"))),
+        "other labels": _said(contracts.validate_labels, part.select((F.col("k") % 3).alias("label"))),
+        "features that are no numbers": _said(contracts.validate_features, part.select(F.when(every(17), float("nan")).otherwise(1.0).alias("x")), ["x"]),
+    }
+    return spark.createDataFrame(list(said.items()), "name string, fault string")
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 
