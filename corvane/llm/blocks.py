@@ -59,11 +59,27 @@ def deal(docs: DataFrame, keys: Sequence[str], text_col: str, block_bytes: int |
     levels = tuple(bits // depth + (i < bits % depth) for i in range(depth))
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     dealt = F.pmod(F.xxhash64(F.col(keys[0]), text), F.lit(blocks)).cast("long").alias("_block")
-    return Dealt(docs.select(dealt, *named, text.alias("_text"), *[c.alias(n) for n, c in extra.items()]), blocks, levels, 1 << fan)
+    rows = docs.select(dealt, *named, *[c.alias(n) for n, c in extra.items()], text.alias("_text"))
+    return Dealt(rows.mapInArrow(_compress, rows.schema), blocks, levels, 1 << fan)
 
 
-def in_order(table: pa.Table, keys: int) -> pa.Table:
-    """A block's documents by id (null last), then text: the same order in every step that sees them."""
+def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as zstd with their sizes in front: about two thirds of what the shuffle's own compression leaves."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        texts = [None if t is None else len(t).to_bytes(4, "little") + (codec.compress(t, asbytes=True) if t else b"") for t in batch.column(batch.num_columns - 1).to_pylist()]
+        yield batch.set_column(batch.num_columns - 1, "_text", pa.array(texts, pa.binary()))
+
+
+def _whole(data: bytes | None) -> bytes | None:
+    if data is None or len(data) == 4:
+        return None if data is None else b""
+    return pa.decompress(data[4:], int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True)
+
+
+def in_order(table: pa.Table) -> pa.Table:
+    """A block's documents, their texts unpacked, by id (null last), then text: the same order in every step that sees them."""
+    table = table.set_column(table.column_names.index("_text"), "_text", pa.array(map(_whole, table.column("_text").to_pylist()), pa.binary()))
     ids = table.column("_k0").to_pylist()
     order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0))
     if any(ids[a] == ids[b] for a, b in zip(order, order[1:], strict=False)):

@@ -149,14 +149,10 @@ def _total(entries: Entries) -> Answers:
     return Answers([entries.info], None, (int((counts > 0).sum()), int(counts.sum())))
 
 
-def _ordered(docs: pa.Table, keys: int) -> pa.Table:
-    return in_order(docs, keys) if docs.num_rows else docs
-
-
 def _ask(bits: int):
     def run(table: pa.Table) -> pa.Table:
         block = table.column("_block")[0].as_py()
-        return BlockTokens(_ordered(table, 1)).entries.rows(0, 0, bits, block, every=True)  # every block learns all buckets' sums
+        return BlockTokens(in_order(table)).entries.rows(0, 0, bits, block, every=True)  # every block learns all buckets' sums
 
     return run
 
@@ -165,7 +161,7 @@ def _ask_triples(bits: int, kept: int):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return Entries(np.zeros(0, np.uint64), np.zeros(0, np.int64)).rows(0, 0, bits, 0, every=False)
-        own = BlockTokens(_ordered(docs, 1))
+        own = BlockTokens(in_order(docs))
         own.hear(told)
         return own.triples(kept).rows(0, 0, bits, docs.column("_block")[0].as_py(), every=False)
 
@@ -174,7 +170,7 @@ def _ask_triples(bits: int, kept: int):
 
 def _score(keys: int, mu: Sequence[float], kept: int):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        docs = _ordered(docs, keys)
+        docs = in_order(docs)
         own = BlockTokens(docs)
         triple = told.column("triple").combine_chunks()
         own.hear(told.filter(pc.invert(triple)))

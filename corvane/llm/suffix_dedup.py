@@ -98,7 +98,7 @@ class BlockTexts:
     """A block's texts in one buffer, with their anchors' segments."""
 
     def __init__(self, table: pa.Table, length: int):
-        table = in_order(table, 1)
+        table = in_order(table)
         texts = [t or b"" for t in table.column("_text").to_pylist()]
         self.table, self.length = table, length
         self.data = b"".join(texts)
