@@ -11,7 +11,9 @@ dynamic programming over sums up to ``FIT``, with each length's remaining count
 of a length are taken is decided by a seeded hash of id and text.
 
 Only counts by (source, length) are gathered, one task per source; documents never are. Ranks within a length
-come from hash ranges counted first, so a length that holds a large share of all rows spreads over many tasks.
+come from hash ranges counted first, so a length that holds a large share of all rows spreads over many tasks; only
+the one range of a length that is taken in part is ranked at all. Rows that repeat id and text are told apart by the
+partition they were read in, so no task ranks them all.
 
 Defined results: a null text has size 0 and takes 0. Null is a source of its own. Rows that repeat an id are
 ranked side by side and are equal in everything that is returned. Empty tables give an empty result.
@@ -155,8 +157,11 @@ def mix_sources(
     seed: int = SEED,
 ) -> DataFrame:
     """(key, size, source_size, target, taken) per row; taken is size times the number of times it is taken. Eager."""
-    rank = F.xxhash64(F.col(key).cast("string"), F.col(text_col), F.lit(seed))
-    rows = docs.select(F.col(key).alias("id"), source_key(F.col(source_col)).alias("src"), text_size(F.col(text_col)).alias("size"), rank.alias("rank"))
+    ident = F.col(key).cast("string")
+    rows = docs.select(
+        F.col(key).alias("id"), source_key(F.col(source_col)).alias("src"), text_size(F.col(text_col)).alias("size"),
+        F.xxhash64(ident, F.col(text_col), F.lit(seed)).alias("rank"), F.xxhash64(F.isnull(ident), ident).alias("tie"), F.spark_partition_id().alias("part"),
+    )
     rows = cut(rows.withColumn("range", F.pmod("rank", F.lit(RANGES)).cast("int")))
     by_range = cut(rows.groupBy("src", "size", "range").agg(F.count(F.lit(1)).alias("n")))
     by_length = by_range.groupBy("src", "size").agg(F.sum("n").alias("n"))
@@ -165,7 +170,23 @@ def mix_sources(
     # where the first ``extra`` of a length end: lower hash ranges are taken whole, one range in part
     before = F.sum("n").over(Window.partitionBy("src", "size").orderBy("range")) - F.col("n")
     more = F.greatest(F.least(F.col("extra") - before, F.col("n")), F.lit(0))
-    ranges = by_range.join(plan, ["src", "size"]).select("src", "size", "range", "base", more.alias("more"), "source_size", "target")
-    place = F.row_number().over(Window.partitionBy("src", "size", "range").orderBy("rank", "id"))
-    met = rows.join(ranges, ["src", "size", "range"]).withColumn("times", F.col("base") + (place <= F.col("more")).cast("long"))
-    return met.select(F.col("id").alias(key), "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"))
+    ranges = by_range.join(plan, ["src", "size"]).select("src", "size", "range", "n", "base", more.alias("more"), "source_size", "target")
+    met = cut(rows.join(ranges, ["src", "size", "range"]))
+    in_part = (F.col("more") > 0) & (F.col("more") < F.col("n"))
+    whole = met.filter(~in_part).withColumn("once_more", F.col("more") > 0)
+    chosen = whole.unionByName(_first_of_ranges(met.filter(in_part)))
+    times = F.col("base") + F.col("once_more").cast("long")
+    return chosen.select(F.col("id").alias(key), "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"))
+
+
+def _first_of_ranges(met: DataFrame) -> DataFrame:
+    """Adds once_more: whether a row is among the first ``more`` of its range, by rank and tie.
+
+    Rows of one rank and tie are equal in all that is returned, so any of them may come first: they are counted by the
+    partition they were read in, and no task ranks more of them than one partition held.
+    """
+    alike = ["src", "size", "range", "rank", "tie", "part"]
+    ends = F.sum("alike").over(Window.partitionBy("src", "size", "range").orderBy("rank", "tie", "part"))
+    groups = met.groupBy(*alike).agg(F.count(F.lit(1)).alias("alike")).withColumn("before", ends - F.col("alike")).drop("alike")
+    place = F.row_number().over(Window.partitionBy(*alike).orderBy("rank"))
+    return met.withColumn("place", place).join(groups, alike).withColumn("once_more", F.col("before") + F.col("place") <= F.col("more")).drop("before", "place")

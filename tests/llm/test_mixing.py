@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corvane.llm import mixing
 
@@ -88,3 +89,43 @@ def test_empty_table_and_one_source(spark):
     assert mixing.mix_sources(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
     one = mixing.mix_sources(spark.createDataFrame([(1, "a b", None), (2, None, None), (3, "c", None)], "doc_id long, text string, source string")).collect()
     assert {r["target"] for r in one} == {4.5} and sum(r["taken"] for r in one) in (4, 5)
+
+
+@pytest.mark.parametrize("ranges", [1, 4, 256])
+def test_choice_follows_ranges_and_ranks(spark, rows, monkeypatch, ranges):
+    """Of each source and length the first rows by hash range and rank are taken once more, with a hot text without id among them."""
+    monkeypatch.setattr(mixing, "RANGES", ranges)
+    hot = [(None, "hot words here", "hot")] * 900 + [(None, "", "hot")] * 500 + [(7000 + i, "hot words too", "hot") for i in range(60)]
+    docs = spark.createDataFrame([*rows, *hot], "doc_id long, text string, source string").repartition(6)
+    rank = docs.withColumn("rank", F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit(mixing.SEED)))
+    groups = {}
+    for r in rank.collect():
+        n = len((r["text"] or "").encode().split())
+        groups.setdefault((r["source"], n), []).append((r["rank"] % ranges, r["rank"], -1 if r["doc_id"] is None else r["doc_id"]))
+    source_size, found = {}, {}
+    for (s, n), g in groups.items():
+        source_size[s] = source_size.get(s, 0) + n * len(g)
+    got = [tuple(r) for r in mixing.mix_sources(docs).collect()]
+    assert len(got) == sum(map(len, groups.values()))
+    targets = plain_targets(source_size)
+    source_of = {(source_size[s], pytest.approx(targets[s]).expected): s for s in source_size}
+    assert len(source_of) == len(source_size)
+    for i, n, whole, target, taken in got:
+        s = next(s for (size, t), s in source_of.items() if size == whole and abs(t - target) < 1e-6 * max(1, t))
+        found.setdefault((s, n), []).append((-1 if i is None else i, taken))
+    assert found.keys() == groups.keys()
+    for (s, n), g in groups.items():
+        low = int(targets[s] // source_size[s]) if source_size[s] else 0
+        more = sum(t for _, t in found[s, n]) // n - low * len(g) if n else 0
+        expected = [(i, n * (low + (k < more))) for k, (_, _, i) in enumerate(sorted(g))]
+        assert sorted(found[s, n]) == sorted(expected)
+
+
+def test_rows_alike_are_ranked_by_parts(spark):
+    """A range of rows alike is ranked within the partitions they were read in, never all in one window."""
+    met = spark.range(0, 4000, 1, 8).select(
+        F.lit("s").alias("src"), F.lit(3).alias("size"), F.lit(0).alias("range"), F.lit(5).alias("rank"), F.lit(1).alias("tie"), F.spark_partition_id().alias("part"), F.lit(1234).alias("more")
+    )
+    out = mixing._first_of_ranges(met)
+    assert out.filter("once_more").count() == 1234 and out.count() == 4000
+    assert {r["n"] for r in out.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()} == {500}
