@@ -12,8 +12,9 @@ where its rarest shingle (by corpus frequency) does.
 4. The words at that start are compared with the window's words: exact containment.
 
 The item shingles' hashes are a literal set in the scan while their number is at most ``MAX_LITERALS``
-(counted first); beyond it the same filter is a hash join. Windows are broadcast under the same count, else
-Spark chooses the join.
+(counted first); beyond it places travel as hashes through a semi-join, and only the places that items know get
+their words. Windows, and then the items of the windows found, are broadcast if their bytes, counted first, are at most
+``MAX_BROADCAST``; else Spark chooses the join.
 
 Defined results: a null or wordless text has no words, no hits and is not contaminated; its ``items_sha256`` is
 the hash of the empty string. A null item text has no windows; a null item_id counts for hits, not as an item.
@@ -33,6 +34,7 @@ from corvane.llm.common import ascii_lower, cut
 WINDOW = 13
 SHINGLE = 3
 MAX_LITERALS = 100_000
+MAX_BROADCAST = 32 << 20
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -55,6 +57,10 @@ def _is_in(words: Column, k: int, hashes: list[int]):
     return lambda i: F.xxhash64(_at(words, i, k)).isin(hashes)
 
 
+def _with_hash(words: Column, k: int):
+    return lambda i: F.struct(i.alias("pos"), F.xxhash64(_at(words, i, k)).alias("h"))
+
+
 def _with_words(words: Column, k: int, window: int):
     """A place with its shingle and the words that a window through it can reach."""
     first = lambda i: F.greatest(i - (window - k), F.lit(0))
@@ -113,8 +119,11 @@ def find_occurrences(
         rows = kept.drop("_w")
         parts = []
         for k in sizes:
-            at = kept.select("_row", "n_words", F.inline(F.transform(_places(F.size("_w"), k), _with_words(F.col("_w"), k, window))))
-            parts.append(at.join(grams.filter(F.col("k") == k).select("gram").distinct(), "gram", "left_semi"))
+            # places travel as (row, place, hash); the words are fetched for those that items know
+            hashed = F.transform(_places(F.size("_w"), k), _with_hash(F.col("_w"), k))
+            known = kept.select("_row", F.inline(hashed)).join(wanted.filter(F.col("k") == k).select("h"), "h", "left_semi")
+            places = known.groupBy("_row").agg(F.collect_list("pos").alias("places"))
+            parts.append(kept.join(places, "_row").select("_row", "n_words", F.inline(F.transform("places", _with_words(F.col("_w"), k, window)))))
         hits = cut(reduce(DataFrame.unionByName, parts))
 
     frequency = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("freq"))
@@ -125,12 +134,19 @@ def find_occurrences(
         .filter("least > 0")
         .select("win", "len", F.col("p.gram").alias("gram"), F.col("p.offset").alias("offset"))
     )
-    by_item = prefix.join(per_item.select("win", "item_id"), "win")
-    near = hits.join(F.broadcast(by_item) if few else by_item, "gram")
+    prefix = cut(prefix)
+    near = hits.join(_small(prefix, "win", "gram"), "gram")
     start = F.col("pos") - F.col("offset")
     inside = near.filter((start >= 0) & (start + F.col("len") <= F.col("n_words")))
     exact = inside.filter(F.array_join(F.slice("near", start - F.col("first") + 1, F.col("len")), " ") == F.col("win"))
-    return rows, exact.select("_row", start.alias("start"), "len", "item_id")
+    found = exact.select("_row", start.alias("start"), "len", "win").join(_small(per_item.select("win", "item_id"), "win", "item_id"), "win")
+    return rows, found.select("_row", "start", "len", "item_id")
+
+
+def _small(df: DataFrame, *texts: str) -> DataFrame:
+    """``df``, broadcast if its rows' bytes, counted first, are at most ``MAX_BROADCAST``."""
+    held = df.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(64)))).first()[0]
+    return F.broadcast(df) if (held or 0) <= MAX_BROADCAST else df
 
 
 def decontaminate(

@@ -37,6 +37,19 @@ def test_equals_brute_force(spark, tables, max_literals):
     assert sorted(got, key=key) == sorted(plain.contamination(docs, items), key=key)
 
 
+@pytest.mark.parametrize("max_literals", [100_000, 0])
+def test_joins_without_broadcast(spark, tables, monkeypatch, max_literals):
+    """Beyond the byte bound windows and items are joined, with many items of one window among them."""
+    monkeypatch.setattr(decontamination, "MAX_BROADCAST", -1)
+    docs, items = tables
+    items = items + [(1000 + i, items[1][1]) for i in range(300)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = [tuple(r) for r in decontamination.decontaminate(d, b, max_literals=max_literals).collect()]
+    key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
+    assert sorted(got, key=key) == sorted(plain.contamination(docs, items), key=key)
+
+
 @pytest.mark.parametrize("which", ["docs", "items", "both", "words"])
 def test_empty_tables(spark, which):
     none = spark.createDataFrame([], "doc_id long, text string")
