@@ -40,6 +40,8 @@ from corvane.llm.components import connected_components
 SHINGLE = 4
 RADIUS = 4
 MAX_BUCKET = 2048
+#: Table rows that one task makes, as far as ``spark.sql.shuffle.partitions`` allows.
+TASK_ROWS = 1 << 18
 SEED = 42
 
 
@@ -172,7 +174,10 @@ def near_links(nodes: DataFrame, parts: int = 1, radius: int = RADIUS, max_dista
     """
     most = radius if max_distance is None else max_distance
     masks, names = covering_masks(range(64), radius), part_names(parts)
-    rows = nodes.select("node", _tables(parts, masks))
+    # nodes are few bytes each, so that bytes alone would pack them into few tasks; each gives a row a table
+    tasks = math.ceil(nodes.count() * parts * len(masks) / TASK_ROWS)
+    spread = nodes.repartition(max(1, min(tasks, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "node")
+    rows = spread.select("node", _tables(parts, masks))
     counts = cut(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     met = rows.select("h", "node").join(counts.filter(F.col("n") <= max_bucket).select("h"), "h")
     members = met.join(nodes, "node").select("h", "node", *names)
