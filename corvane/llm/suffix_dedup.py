@@ -9,14 +9,14 @@ occurrences of a maximal repeat in other than its smallest document are removed;
 To spread the array over a cluster, texts are cut into segments around anchors. The anchor of a string of
 ``length`` bytes is the ``GRAM``-byte gram in it with the smallest hash (the leftmost of equals), so equal strings
 have equal anchors. Neighbouring strings with one anchor form a segment; segments with equal anchors meet in
-one bucket, which builds one suffix array over all its segments. A segment's first string counts as preceded by
+one bucket, and in one of its suffix arrays. A segment's first string counts as preceded by
 something of its own, so no repeat is lost at a cut.
 
 1. Each block of documents (see ``blocks``) sends its distinct anchors; buckets answer which occur in two
    documents or more, and which are hot: in over ``hot`` segments.
 2. Blocks send the distinct segments of shared anchors with their smallest document. Segments of hot anchors go
    as single strings, dealt by their own hash, so that a hot anchor's many contexts spread over all buckets.
-3. Buckets build the arrays, and answer each segment with runs of bytes and the smallest document that has them.
+3. Buckets build the arrays, a slice of whole anchors at a time, and answer each segment with runs of bytes and the smallest document that has them.
 4. Blocks remove from each document the runs that a smaller document has.
 
 Texts are the UTF-8 bytes; matches never cross documents, and are judged on the input, not on what is left.
@@ -26,7 +26,8 @@ so do rows that repeat an id, whose copies are left alone. Empty tables give an
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,8 @@ from corvane.llm.blocks import CELLS, FAN, MULTIPLY, Answers, Entries, deal, exc
 LENGTH = 50
 GRAM = 16
 HOT = 20_000
-LARGEST_BUCKET = 16 << 20  # a bucket's suffix array takes about 20 times its segments' bytes
+LARGEST_BUCKET = 16 << 20  # bytes of all texts over the number of buckets
+SLICE = 1 << 20  # bytes of a bucket's segments in one suffix array, which takes about 50 times as many
 STEP = 1 << 16  # window starts worked on at a time
 LAST_ID = np.iinfo(np.int64).max
 
@@ -256,6 +258,24 @@ def earliest(texts: Sequence[bytes], least: np.ndarray, length: int) -> np.ndarr
     return out
 
 
+def slices(keys: np.ndarray, sizes: np.ndarray, limit: int) -> Iterator[slice]:
+    """Consecutive ranges of texts of about ``limit`` bytes that never part equal keys, which stand together.
+
+    Equal strings have equal keys, so no repeat reaches from one range into another. A key's own texts are bounded: a
+    segment is less than twice a string long, and an anchor of over ``HOT`` segments is dealt by whole strings.
+    """
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - np.uint64(1)) != 0) if len(keys) else np.zeros(0, np.int64)
+    bounds = np.append(first, len(keys)).tolist()
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    at = 0
+    for here, after in pairwise(bounds):
+        if total[after] - total[at] > limit and here > at:
+            yield slice(at, here)
+            at = here
+    if at < len(keys):
+        yield slice(at, len(keys))
+
+
 # ---- the four steps
 
 
@@ -315,20 +335,29 @@ def _send(bits: int, length: int):
     return run
 
 
-def _repeats(length: int):
+def _runs(texts: list[bytes], least: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Runs of bytes that have one smallest document: how many each text has; their offsets, lengths and documents."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    starts = np.cumsum(sizes) - sizes
+    out = earliest(texts, least, length)
+    step = np.concatenate([[True], out[1:] != out[:-1]])
+    step[starts] = True
+    first = np.flatnonzero(step)
+    owner = np.searchsorted(starts, first, "right") - 1
+    number = np.bincount(owner, minlength=len(texts)).astype(np.int32)
+    return number, (first - starts[owner]).astype(np.int32), np.diff(np.append(first, len(out))).astype(np.int32), out[first]
+
+
+def _repeats(length: int, limit: int = SLICE):
     """For each segment runs of bytes (offset, length) with the smallest document that has them."""
 
     def run(entries: Entries) -> Answers:
         texts = entries.texts or []
-        out = earliest(texts, entries.info, length)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        starts = np.cumsum(sizes) - sizes
-        step = np.concatenate([[True], out[1:] != out[:-1]])[: len(out)]
-        step[starts] = True
-        first = np.flatnonzero(step)
-        owner = np.searchsorted(starts, first, "right") - 1
-        number = np.bincount(owner, minlength=len(texts)).astype(np.int32)
-        return Answers([(first - starts[owner]).astype(np.int32), np.diff(np.append(first, len(out))).astype(np.int32), out[first]], number)
+        parts = [_runs(texts[s], entries.info[s], length) for s in slices(entries.keys, sizes, limit)]
+        none = [(np.zeros(0, np.int32),) * 3 + (np.zeros(0, np.int64),)]
+        number, *columns = (np.concatenate(c) for c in zip(*(parts or none), strict=True))
+        return Answers(columns, number)
 
     return run
 

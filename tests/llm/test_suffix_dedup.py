@@ -120,5 +120,26 @@ def test_segments_hold_every_string_once():
     assert (np.sort(held) == want).all() and (last - first < 36).all()
 
 
+@pytest.mark.parametrize("limit", [1, 300, 5000])
+def test_slices_of_a_bucket_give_what_one_array_gives(limit):
+    rng = random.Random(limit)
+    parts = [bytes(rng.choice(b"ab") for _ in range(30)) for _ in range(12)]
+    data = b"".join(rng.choice(parts) for _ in range(400))
+    buf, size = np.frombuffer(data, np.uint8), np.full(20, len(data) // 20)
+    hashes, first, last = sd.anchor_segments(buf, np.cumsum(size) - size, size, 20, 8)
+    least = {}
+    for h, a, b in zip(hashes.tolist(), first.tolist(), last.tolist(), strict=True):
+        text = data[a : b + 20]
+        least[h, text] = min(least.get((h, text), 99), a // int(size[0]))
+    keys = sorted(least)
+    entries = sd.Entries(np.array([h for h, _ in keys], np.uint64), np.array([least[k] for k in keys]), [t for _, t in keys])
+    cuts = list(sd.slices(entries.keys, np.array([len(t) for _, t in keys]), limit))
+    assert [i for s in cuts for i in range(s.start, s.stop)] == list(range(len(keys))) and len(cuts) > 1
+    assert all(entries.keys[s.start] != entries.keys[s.start - 1] for s in cuts[1:])
+    got, want = sd._repeats(20, limit)(entries), sd._repeats(20, 1 << 40)(entries)
+    assert (got.number == want.number).all() and all((a == b).all() for a, b in zip(got.columns, want.columns, strict=True))
+    assert sd._repeats(20)(sd.Entries(entries.keys[:0], entries.info[:0], [])).number.tolist() == []
+
+
 def test_empty_table(spark):
     assert sd.suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
