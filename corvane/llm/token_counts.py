@@ -48,6 +48,18 @@ def byte_symbols() -> dict[str, int]:
     return table
 
 
+def check_definition(definition: dict) -> None:
+    """Raise ValueError for settings that would change counts and that this operator does not follow."""
+    model, split = definition["model"], definition.get("pre_tokenizer") or {}
+    faults = [name for name in ("ignore_merges", "dropout", "continuing_subword_prefix", "end_of_word_suffix") if model.get(name)]
+    faults += ["normalizer"] * bool(definition.get("normalizer"))
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        faults.append("pre_tokenizer")
+    faults += [f"{flag} of {t['content']!r}" for t in definition.get("added_tokens", ()) for flag in ("lstrip", "rstrip", "single_word") if t.get(flag)]
+    if faults:
+        raise ValueError(f"tokenizer settings not supported: {', '.join(faults)}")
+
+
 class WholeTokens:
     """Merge ranks, special strings and the set of pre-tokens proven to be one token."""
 
@@ -70,7 +82,9 @@ class WholeTokens:
     @classmethod
     def load(cls, path: str) -> WholeTokens:
         with open(path, encoding="utf-8") as f:
-            return cls(json.load(f)).prove()
+            definition = json.load(f)
+        check_definition(definition)
+        return cls(definition).prove()
 
     def prove(self) -> WholeTokens:
         """Keep the vocabulary strings that are text and that the merges bring to a single token."""

@@ -50,3 +50,11 @@ def test_rows(spark, library):
     assert [(r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in out[:4]] == [(11, 2, False), (11, 2, False), (0, 0, False), (0, 0, False)]
     assert out[4]["n_tokens"] == len(library.encode(long, add_special_tokens=False).ids) and out[4]["over_limit"]
     assert tc.token_counts(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}, {"model": {"ignore_merges": True}}, {"added_tokens": [{"content": "x", "lstrip": True}]}])
+def test_settings_that_are_not_followed_raise(change):
+    plain = {"model": {"ignore_merges": False}, "normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False}, "added_tokens": [{"content": "x"}]}
+    tc.check_definition(plain)
+    with pytest.raises(ValueError):
+        tc.check_definition(plain | change)
