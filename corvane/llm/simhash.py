@@ -179,13 +179,16 @@ def near_links(nodes: DataFrame, parts: int = 1, radius: int = RADIUS, max_dista
     spread = nodes.repartition(max(1, min(tasks, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "node")
     rows = spread.select("node", _tables(parts, masks))
     counts = cut(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    met = rows.select("h", "node").join(counts.filter(F.col("n") <= max_bucket).select("h"), "h")
-    members = met.join(nodes, "node").select("h", "node", *names)
+    # never broadcast: estimates, which the checkpoints keep, know nothing of the rows that a node gives, so that buckets
+    # and nodes of any number would pass for a few MB and be gathered by the driver
+    held, known = counts.hint("merge"), nodes.hint("merge")
+    met = rows.select("h", "node").join(held.filter(F.col("n") <= max_bucket).select("h"), "h")
+    members = met.join(known, "node").select("h", "node", *names)
     if counts.filter(F.col("n") > max_bucket).limit(1).count():
         free = [[b for b in range(64) if not m >> b & 1] for m in masks]
         second = [(p * len(masks) + v, p, u, _signed(m)) for p in range(parts) for v, bits in enumerate(free) for u, m in enumerate(covering_masks(bits, radius))]
         table = nodes.sparkSession.createDataFrame(second, "t int, part int, u int, mask long")  # parts * (2**(radius+1)-1)**2 rows
-        hot = rows.join(counts.filter(F.col("n") > max_bucket).select("h"), "h").join(nodes, "node").join(F.broadcast(table), "t")
+        hot = rows.join(held.filter(F.col("n") > max_bucket).select("h"), "h").join(known, "node").join(F.broadcast(table), "t")
         part = F.element_at(F.array(*names), F.col("part") + 1)
         members = members.union(hot.select(F.xxhash64("h", "u", part.bitwiseAND(F.col("mask"))).alias("h"), "node", *names))
     dealt = members.repartition("h").sortWithinPartitions("h")

@@ -129,3 +129,17 @@ def test_components_of_a_star_a_chain_and_a_cycle(spark):
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(links, "p long, q long"), "p", "q").collect()}
     want = {i: 0 for i in range(1, 200)} | {i: 1000 for i in range(1001, 1101)} | {2001: 2000, 2002: 2000}
     assert got == want
+
+
+def test_rows_of_tables_and_nodes_are_never_broadcast(spark):
+    """The estimates of a small table's nodes know nothing of the rows that each gives, which may be many."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        nodes = simhash.cut(spark.range(300).selectExpr("id AS node", "id % 7 AS fp0"))
+        for max_bucket, fixed in ((2048, 0), (8, 1)):  # the second covering's own table has a fixed size
+            links = simhash.near_links(nodes, max_bucket=max_bucket)
+            assert links._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") == fixed
+            assert {r["node"] for r in connected_components(links, "a", "b").collect()} == set(range(1, 300))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
