@@ -18,13 +18,14 @@ def _digest(edges: DataFrame) -> tuple:
     return row[0], row[1]
 
 
-def connected_components(links: DataFrame, left: str, right: str) -> DataFrame:
+def connected_components(links: DataFrame, left: str, right: str, most: int | None = None) -> DataFrame:
     """(node, root) for every node of a link other than a root; root is its component's smallest node.
 
     ``links``: two columns of one orderable type; direction, repeats, self-links and nulls do not matter.
+    ``most``: a bound on their number, if one is known; it only sets how many files the first checkpoint takes.
     """
     pairs = links.select(F.col(left).alias("x"), F.col(right).alias("y")).filter("x <> y")
-    edges = cut(pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+    edges = cut(pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), most)
     before = _digest(edges)
     while before[0]:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -35,7 +36,7 @@ def connected_components(links: DataFrame, left: str, right: str) -> DataFrame:
         # small-star: a node and its smaller neighbours are linked to the smallest of them
         least = star.groupBy("a").agg(F.min("b").alias("m"))
         down = star.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = cut(down.union(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = cut(down.union(least.select("a", F.col("m").alias("b"))).distinct(), before[0])  # no step adds edges
         after = _digest(edges)
         if after == before:
             break

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.blocks import MULTIPLY, mix
-from corvane.llm.common import cut, map_texts
+from corvane.llm.common import cut, map_texts, packed
 from corvane.llm.components import connected_components
 
 SHINGLE = 4
@@ -172,19 +172,26 @@ def near_links(nodes: DataFrame, parts: int = 1, radius: int = RADIUS, max_dista
 
     ``nodes``: a distinct long ``node`` and the parts fp0.. of its fingerprint.
     """
+    return counted_links(nodes, nodes.count(), parts, radius, max_distance, max_bucket)[0]
+
+
+def counted_links(nodes: DataFrame, n: int, parts: int = 1, radius: int = RADIUS, max_distance: int | None = None, max_bucket: int = MAX_BUCKET) -> tuple[DataFrame, int]:
+    """``near_links`` of ``n`` nodes, and a bound on their number: a bucket gives less links than it has members."""
     most = radius if max_distance is None else max_distance
     masks, names = covering_masks(range(64), radius), part_names(parts)
     # nodes are few bytes each, so that bytes alone would pack them into few tasks; each gives a row a table
-    tasks = math.ceil(nodes.count() * parts * len(masks) / TASK_ROWS)
+    made = n * parts * len(masks)
+    tasks = math.ceil(made / TASK_ROWS)
     spread = nodes.repartition(max(1, min(tasks, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "node")
     rows = spread.select("node", _tables(parts, masks))
-    counts = cut(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    counts = cut(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), made)
     # never broadcast: estimates, which the checkpoints keep, know nothing of the rows that a node gives, so that buckets
     # and nodes of any number would pass for a few MB and be gathered by the driver
     held, known = counts.hint("merge"), nodes.hint("merge")
     met = rows.select("h", "node").join(held.filter(F.col("n") <= max_bucket).select("h"), "h")
     members = met.join(known, "node").select("h", "node", *names)
-    if counts.filter(F.col("n") > max_bucket).limit(1).count():
+    small, large = counts.agg(*[F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)) for x in (F.col("n") <= max_bucket, F.col("n") > max_bucket)]).first()
+    if large:
         free = [[b for b in range(64) if not m >> b & 1] for m in masks]
         second = [(p * len(masks) + v, p, u, _signed(m)) for p in range(parts) for v, bits in enumerate(free) for u, m in enumerate(covering_masks(bits, radius))]
         table = nodes.sparkSession.createDataFrame(second, "t int, part int, u int, mask long")  # parts * (2**(radius+1)-1)**2 rows
@@ -216,7 +223,7 @@ def near_links(nodes: DataFrame, parts: int = 1, radius: int = RADIUS, max_dista
         if rest is not None and rest.num_rows:
             yield out(rest.combine_chunks())
 
-    return dealt.mapInArrow(link, "a long, b long")
+    return dealt.mapInArrow(link, "a long, b long"), small + large * len(masks)
 
 
 def simhash_components(
@@ -235,14 +242,17 @@ def simhash_components(
     """
     names = part_names(parts)
     rows = cut(fingerprints(docs, keys, text_col, k, parts))
+    total = rows.count()
     # numbered once: the numbers are part of the checkpoint
-    nodes = cut(rows.groupBy(*names).agg(F.min(keys[0]).alias("first")).withColumn("node", F.monotonically_increasing_id()))
-    roots = connected_components(near_links(nodes.select("node", *names), parts, radius, max_distance, max_bucket), "a", "b")
+    nodes = cut(rows.groupBy(*names).agg(F.min(keys[0]).alias("first")).withColumn("node", F.monotonically_increasing_id()), total)
+    n = nodes.count()
+    links, most = counted_links(nodes.select("node", *names), n, parts, radius, max_distance, max_bucket)
+    roots = connected_components(links, "a", "b", most)
     with_root = nodes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(*names, "first", F.coalesce("root", "node").alias("root"))
-    with_root = cut(with_root)
+    with_root = cut(with_root, n)
     # materialised, so that the join below sees two plain exchanges and can split a large component
     smallest = with_root.groupBy("root").agg(F.min("first").alias("component_id"))
-    smallest = cut(smallest)
+    smallest = cut(smallest, n)
     ids = with_root.join(smallest, "root").select(*names, "component_id", "root")
-    out = rows.join(ids, names, "left")
+    out = packed(rows.join(ids, names, "left"), total)
     return out.select(*keys, F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in names]).alias("fingerprint"), "component_id", "root")

@@ -2,6 +2,7 @@
 
 import random
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -143,3 +144,27 @@ def test_rows_of_tables_and_nodes_are_never_broadcast(spark):
             assert {r["node"] for r in connected_components(links, "a", "b").collect()} == set(range(1, 300))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_few_rows_make_few_files(spark, tmp_path):
+    """Each file of a checkpoint is two processes that an executor starts; hundreds of them for a few rows are not needed."""
+    was = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(shared.glob("*/*/part-*"))
+    rows = [(i, f"{i // 3} a b c d e f g h") for i in range(90)] + [(90 + i, " ".join(f"w{j}" for j in range(i, i + 40))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    try:
+        for c, v in zip(was, ("37", "false"), strict=True):
+            spark.conf.set(c, v)
+        found = simhash.simhash_components(docs)
+        found.write.parquet(str(tmp_path / "out"))
+        got = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    finally:
+        for c, v in was.items():
+            spark.conf.set(c, v)
+    by_folder = {}
+    for f in set(shared.glob("*/*/part-*")) - before:
+        by_folder[f.parent] = by_folder.get(f.parent, 0) + 1
+    assert len(by_folder) >= 6 and max(by_folder.values()) <= 2 and len(list((tmp_path / "out").glob("part-*"))) == 1
+    fps = [plain_fingerprint(r[1]) for r in rows]
+    assert got == plain_components(fps, [r[0] for r in rows])
